@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.config import BuildSpec, EmbeddingSpec
 from tristrata.plans.build import Catalogue, build_catalogue
+from tristrata.shared import scratch_path
 
 SEQ_BASE = 1_000_000_000_000
 
@@ -89,3 +91,29 @@ def catalogue(
     return build_catalogue(
         facts(spark, sf_dir), spec or BuildSpec(), embeddings, order_col="ord", stage=stage
     )
+
+
+_STORED: dict[tuple[str, str, bool], str] = {}
+
+
+def stored_catalogue(spark: SparkSession, sf_dir: str, embedded: bool = False) -> Catalogue:
+    """The catalogue as columnar tables in shared storage, built once per application.
+
+    Navigation, profiling and checks run on a written catalogue, as in production.
+    """
+    def read(root: str) -> Catalogue:
+        return Catalogue(**{x: spark.read.parquet(f"{root}/{x}") for x in ("l3", "l2", "l1")})
+
+    key = (spark.sparkContext.applicationId, sf_dir, embedded)
+    if key in _STORED:
+        try:
+            return read(_STORED[key])
+        except AnalysisException:
+            pass
+    spec = BuildSpec(**WITH_CODES)
+    built = catalogue(spark, sf_dir, spec, EmbeddingSpec(enabled=embedded), stage=True)
+    root = scratch_path(spark, "catalogue")
+    for level in ("l3", "l2", "l1"):
+        getattr(built, level).write.parquet(f"{root}/{level}")
+    _STORED[key] = root
+    return read(root)

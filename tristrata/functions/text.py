@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schema import KEY_PREFIX, L2_DIMS, L3_DIMS, SERIES_DIMS, dim_label
+from .arrays import let
 
 # The characters Unicode treats as white space.
 WHITESPACE = (
@@ -40,9 +41,15 @@ def canonical_dims(dims: Column, order: list[str], keep_extras: bool = True) ->
         lambda e: F.struct(clean_str(e["key"]).alias("key"), clean_str(e["value"]).alias("value")),
     )
     extras = F.filter(cleaned, lambda e: (e["key"] != "") & ~e["key"].isin(order))
-    names = F.transform(extras, lambda e: e["key"])
-    first = F.filter(extras, lambda e, i: F.array_position(names, e["key"]) == i + 1)
-    return F.map_from_entries(F.concat(canon, first))
+    return let(
+        extras,
+        lambda x: let(
+            F.transform(x, lambda e: e["key"]),
+            lambda names: F.map_from_entries(
+                F.concat(canon, F.filter(x, lambda e, i: F.array_position(names, e["key"]) == i + 1))
+            ),
+        ),
+    )
 
 
 def _lower_escapes(json: Column) -> Column:

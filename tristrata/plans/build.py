@@ -50,7 +50,7 @@ def _with_embeddings(df: DataFrame, spec: EmbeddingSpec, level: str, encoder) ->
         ),
         "embedding_meta": F.struct(
             F.col("embedding_meta.embedding_model").alias("embedding_model"),
-            F.coalesce(F.size("__vec"), F.lit(0)).alias("embedding_dim"),
+            F.coalesce(F.array_size("__vec"), F.lit(0)).alias("embedding_dim"),
             F.col("embedding_meta.schema_version").alias("schema_version"),
         ),
     }).select(*LEVEL_SCHEMAS[level].names)
