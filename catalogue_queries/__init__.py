@@ -1,4 +1,4 @@
 """Registered queries over the given tables."""
 
-from . import ingest, lookup, profile, series  # noqa: F401
+from . import checks, ingest, lookup, plans, profile, series, vectors  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

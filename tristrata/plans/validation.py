@@ -48,20 +48,20 @@ def repro_manifest(
 ) -> DataFrame:
     """One JSON row: contract, configuration, runtime, artefacts and validation.
 
-    Only totals and at most ``max_errors`` errors per level enter the document. Part
-    files are summed up per artefact; their own checksums stay in the file manifest.
+    Only totals and at most ``max_errors`` errors per level enter the document: file
+    count, bytes, lines and an order-free digest per artefact. The checksum of every
+    part file is a table of its own (:func:`dataset_manifest`).
     """
     files = dataset_manifest(spark, paths).groupBy("artefact").agg(
         F.count("*").alias("files"),
         F.sum("bytes").alias("bytes"),
-        F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ""), 256).alias("sha256"),
     )
     digests = None
     for level in sorted(paths):
         part = content_digest(spark.read.text(paths[level]), ["value"]).withColumn("artefact", F.lit(level))
         digests = part if digests is None else digests.unionByName(part)
     artefacts = files.join(digests, "artefact").agg(
-        F.array_sort(F.collect_list(F.struct("artefact", "files", "bytes", "sha256", "rows", "digest_xor", "digest_sum")))
+        F.array_sort(F.collect_list(F.struct("artefact", "files", "bytes", "rows", "digest_xor", "digest_sum")))
         .alias("artefacts")
     )
     checks = validate_catalogue(spark, paths, max_errors) if validate else None
