@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tristrata.functions.text import WHITESPACE
 from tristrata.operators import validate as V
 from tristrata.plans import validation as P
-from tristrata.shared import materialize, scratch_path
+from tristrata.shared import scratch_path
 from tristrata.sources.levels import read_lines as lines_of
 from tristrata.sources.levels import write_jsonl_level
 
@@ -75,8 +75,16 @@ def planted(spark, sf_dir):
     }
 
 
+def lines(spark, sf_dir):
+    return X.stored(spark, sf_dir, "lines", lambda: planted(spark, sf_dir))
+
+
 def checked(spark, sf_dir):
-    return {level: V.validate_level(df, level) for level, df in planted(spark, sf_dir).items()}
+    """Links and error codes of every line, as the composite check keeps them."""
+    def build():
+        return {level: V.validate_level(df, level) for level, df in lines(spark, sf_dir).items()}
+
+    return X.stored(spark, sf_dir, "checked", build)
 
 
 def valid(spark, sf_dir):
@@ -89,9 +97,9 @@ UNION ALL SELECT 'l1', line, e1 FROM faults WHERE d1 <> '1'
 """)
 def validate_level(spark, sf_dir):
     """Error codes of every line; valid lines have none."""
-    c = checked(spark, sf_dir)
+    found = {level: V.validate_level(df, level) for level, df in lines(spark, sf_dir).items()}
     parts = [
-        c[x].select(F.lit(x).alias("level"), "line", F.array_join("errors", ",").alias("error")) for x in ("l2", "l1")
+        found[x].select(F.lit(x).alias("level"), "line", F.array_join("errors", ",").alias("error")) for x in ("l2", "l1")
     ]
     return parts[0].unionByName(parts[1])
 
@@ -132,7 +140,7 @@ FROM counts
 
 @query(FAULTS + SUMMARY)
 def validation_summary(spark, sf_dir):
-    return V.validation_summary({k: materialize(v, k) for k, v in checked(spark, sf_dir).items()})
+    return V.validation_summary(checked(spark, sf_dir))
 
 
 @query(FAULTS + "SELECT series_key FROM l2_ok WHERE series_key NOT IN (SELECT series_key FROM l1_ok)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,27 +95,38 @@ def catalogue(
     )
 
 
-_STORED: dict[tuple[str, str, bool], str] = {}
+_STORED: dict[tuple, str] = {}
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], dict[str, DataFrame]]
+) -> dict[str, DataFrame]:
+    """Named tables in shared storage, built once per application and input folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    for _ in range(2):
+        if key not in _STORED:
+            root = scratch_path(spark, name)
+            for part, df in build().items():
+                df.write.parquet(f"{root}/{part}")
+            _STORED[key] = root
+        root = _STORED[key]
+        try:
+            # The parts of a set are its sub-folders; a vanished folder is built anew.
+            return {part: spark.read.parquet(f"{root}/{part}") for part in ("l3", "l2", "l1")}
+        except AnalysisException:
+            del _STORED[key]
+    raise RuntimeError(f"cannot read back {name}")
 
 
 def stored_catalogue(spark: SparkSession, sf_dir: str, embedded: bool = False) -> Catalogue:
-    """The catalogue as columnar tables in shared storage, built once per application.
+    """The catalogue as columnar tables.
 
     Navigation, profiling and checks run on a written catalogue, as in production.
     """
-    def read(root: str) -> Catalogue:
-        return Catalogue(**{x: spark.read.parquet(f"{root}/{x}") for x in ("l3", "l2", "l1")})
+    def build() -> dict[str, DataFrame]:
+        built = catalogue(
+            spark, sf_dir, BuildSpec(**WITH_CODES), EmbeddingSpec(enabled=embedded), stage=True
+        )
+        return {"l3": built.l3, "l2": built.l2, "l1": built.l1}
 
-    key = (spark.sparkContext.applicationId, sf_dir, embedded)
-    if key in _STORED:
-        try:
-            return read(_STORED[key])
-        except AnalysisException:
-            pass
-    spec = BuildSpec(**WITH_CODES)
-    built = catalogue(spark, sf_dir, spec, EmbeddingSpec(enabled=embedded), stage=True)
-    root = scratch_path(spark, "catalogue")
-    for level in ("l3", "l2", "l1"):
-        getattr(built, level).write.parquet(f"{root}/{level}")
-    _STORED[key] = root
-    return read(root)
+    return Catalogue(**stored(spark, sf_dir, "embedded" if embedded else "catalogue", build))

@@ -174,7 +174,7 @@ def jitter_if_degenerate(spark, sf_dir):
 @query("""
 , long AS (SELECT unnest(['Domain', 'Sub_domain', 'Domain_table', 'Area', 'Item', 'Element', 'Unit']) AS dim,
                   unnest([Domain, Sub_domain, Domain_table, Area, Item, Element, Unit]) AS cat FROM series),
-ranked AS (SELECT dim, cat, row_number() OVER (PARTITION BY dim ORDER BY count(*) DESC, cat) AS r FROM long GROUP BY ALL)
+ranked AS (SELECT dim, cat, row_number() OVER (PARTITION BY dim ORDER BY count(*) DESC, cat) AS r FROM long GROUP BY dim, cat)
 SELECT dim, CASE WHEN r <= 10 THEN cat ELSE '(other)' END AS label, count(*) AS label_count, count(*) AS n_points
 FROM long JOIN ranked USING (dim, cat) GROUP BY 1, 2
 """)
