@@ -57,17 +57,33 @@ class HashedTokens:
             slot = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int") % self.dim + 1
             return F.when(F.substring(digest, 5, 1) < "8", slot).otherwise(-slot)
 
-        def count(slots: Column) -> Column:
-            return F.transform(
-                F.sequence(F.lit(1), F.lit(self.dim)),
-                lambda j: F.aggregate(
-                    slots,
-                    F.lit(0),
-                    lambda a, s: a + F.when(s == j, 1).when(s == -j, -1).otherwise(0),
-                ).cast("float"),
+        # Sorted slots form runs; a run's length is the distance to the next run's start,
+        # so counting costs one sort and one scan per distinct slot.
+        def counts(ordered: Column, slots: Column, starts: Column) -> Column:
+            ends = F.concat(F.slice(starts, 2, self.dim * 2), F.array(F.size(ordered).cast("bigint") + 1))
+            runs = F.map_from_arrays(slots, F.zip_with(ends, starts, lambda e, b: (e - b).cast("float")))
+
+            def at(m: Column, j: Column) -> Column:
+                return F.coalesce(F.try_element_at(m, j), F.lit(0.0).cast("float"))
+
+            return let(
+                runs,
+                lambda m: F.transform(
+                    F.sequence(F.lit(1), F.lit(self.dim)), lambda j: at(m, j) - at(m, -j)
+                ),
             )
 
-        return let(F.transform(tokens, signed_slot), count)
+        zero = F.array_repeat(F.lit(0.0).cast("float"), self.dim)
+        return let(
+            F.sort_array(F.transform(tokens, signed_slot)),
+            lambda s: let(
+                F.array_distinct(s),
+                lambda u: let(
+                    F.transform(u, lambda j: F.array_position(s, j)),
+                    lambda starts: F.when(F.size(s) > 0, counts(s, u, starts)).otherwise(zero),
+                ),
+            ),
+        )
 
 
 def embed_text(

@@ -81,16 +81,17 @@ def _bad_optional_text(node: Column) -> Column:
 
 
 def _bad_properties(props: Column) -> Column:
-    bad = props.isNull() | _unknown(props, PROPERTIES)
-    for name in NULLABLE_INTS:
-        bad = bad | ~(_absent(_get(props, name)) | _null(_get(props, name)) | _is_whole(_get(props, name)))
-    for name in PLAIN_INTS:
-        bad = bad | ~(_absent(_get(props, name)) | _is_whole(_get(props, name)))
-    for name in FLOATS:
-        bad = bad | ~(
-            _absent(_get(props, name)) | _null(_get(props, name)) | _as_number(_get(props, name)).isNotNull()
+    """True unless every entry is a known property with a readable number."""
+    def bad(e: Column) -> Column:
+        name, node = e["key"], e["value"]
+        return (
+            F.when(name.isin(NULLABLE_INTS), ~(_null(node) | _is_whole(node)))
+            .when(name.isin(PLAIN_INTS), ~_is_whole(node))
+            .when(name.isin(FLOATS), ~(_null(node) | _as_number(node).isNotNull()))
+            .otherwise(F.lit(True))
         )
-    return F.coalesce(bad, F.lit(True))
+
+    return props.isNull() | F.exists(F.map_entries(props), bad)
 
 
 def _year_ok(node: Column) -> Column:
