@@ -120,6 +120,18 @@ def coerce_year_value(spark, sf_dir):
     return L.explode_points(coerced.filter((F.size("data") < 2) | ordered))
 
 
+@query("""
+SELECT series_key, row_number() OVER (PARTITION BY series_key ORDER BY p.Year) AS position, CAST(p.Year AS BIGINT) AS Year
+FROM (SELECT series_key, unnest(data) AS p FROM series)
+""")
+def sort_points(spark, sf_dir):
+    """Points of a reversed bundle are put back in year order."""
+    c = X.stored_catalogue(spark, sf_dir)
+    ordered = L.coerce_year_value(F.reverse("data"))
+    rows = c.l1.select(F.col("identity.series_key").alias("series_key"), F.posexplode(ordered).alias("i", "p"))
+    return rows.select("series_key", big(F.col("i") + 1).alias("position"), "p.Year")
+
+
 @query(f"""
 SELECT series_key, len({FINITE}) AS n, {POINTS_TEXT.format(FINITE)} AS points FROM series WHERE len({FINITE}) >= 2
 """)

@@ -19,8 +19,16 @@ WHITESPACE = (
 
 
 def clean_str(c: Column) -> Column:
-    """Null becomes ""; Unicode white space is stripped from both ends."""
-    return F.btrim(F.coalesce(c.cast("string"), F.lit("")), F.lit(WHITESPACE))
+    """Null becomes ""; Unicode white space is stripped from both ends.
+
+    Trimming by a character set walks the text character by character. Texts that begin
+    and end with a visible ASCII byte, nearly all of them, are recognised by comparing
+    bytes and skip it.
+    """
+    text = F.coalesce(c.cast("string"), F.lit(""))
+    last = F.substring(text.cast("binary"), -1, 1)
+    plain = (text >= "!") & (text < "\x7f") & last.between(F.lit(b"!"), F.lit(b"~"))
+    return F.when(plain | (text == ""), text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def canonical_dims(dims: Column, order: list[str], keep_extras: bool = True) -> Column:

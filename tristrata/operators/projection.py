@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import is_usable
 from ..schema import SERIES_DIMS
+from ..shared import materialize
 from .profile import category_counts, collapse_topk
 from .sampling import sample_rows
 
@@ -19,6 +21,27 @@ AXES = ["Dim 1", "Dim 2"]
 MIN_EMBEDDINGS = 10
 
 
+@dataclass
+class Axes:
+    """Fitted projection: apply it to any frame with vectors of the same size."""
+
+    n_used: int
+    explained_variance_ratio: list[float]
+    stages: PipelineModel | None = None
+    signs: tuple[float, float] = (1.0, 1.0)
+
+    def project(self, df: DataFrame, vec_col: str = "embedding", finite: bool = True) -> DataFrame:
+        """Usable rows with both coordinates; the origin when a single row was fitted."""
+        used = df.filter(is_usable(F.col(vec_col), finite))
+        if self.stages is None:
+            return _with_axes(used, F.lit(0.0), F.lit(0.0))
+        axes = vector_to_array("__p")
+        placed = self.stages.transform(_vectors(used, vec_col))
+        return _with_axes(
+            placed, axes[0] * F.lit(self.signs[0]), axes[1] * F.lit(self.signs[1])
+        ).drop("__v", "__c", "__p")
+
+
 @dataclass
 class Projection:
     """Projected rows and the share of variance each axis explains."""
@@ -32,47 +55,57 @@ def _with_axes(df: DataFrame, first: Column, second: Column) -> DataFrame:
     return df.withColumns({AXES[0]: first.cast("float"), AXES[1]: second.cast("float")})
 
 
-def pca_2d(df: DataFrame, vec_col: str = "embedding", finite: bool = True) -> Projection:
-    """Centre the vectors and project them on their first two components.
+def _vectors(df: DataFrame, vec_col: str) -> DataFrame:
+    return df.withColumn("__v", array_to_vector(F.transform(vec_col, lambda x: x.cast("double"))))
+
+
+def fit_axes(df: DataFrame, vec_col: str = "embedding", finite: bool = True) -> Axes:
+    """Centre the usable vectors and find their first two components.
 
-    Rows without a usable vector are dropped. No row gives an empty result and one row
-    gives the origin. The sign of each axis is fixed so that its loading of largest
-    magnitude is positive. The fit reduces to a d×d covariance summed in a tree; only
-    the two loading vectors reach the driver.
+    The sign of each axis is fixed so that its loading of largest magnitude is positive.
+    The fit reduces to a d×d covariance summed in a tree; only means and the two loading
+    vectors reach the driver.
     """
-    used = df.filter(is_usable(F.col(vec_col), finite))
+    used = df.filter(is_usable(F.col(vec_col), finite)).select(vec_col)
     n = used.count()
     if n < 2:
-        origin = F.lit(0.0) if n else F.lit(None)
-        return Projection(_with_axes(used, origin, origin), n, [])
-    vectors = used.withColumn("__v", array_to_vector(F.transform(vec_col, lambda x: x.cast("double"))))
-    scaler = StandardScaler(inputCol="__v", outputCol="__c", withMean=True, withStd=False).fit(vectors)
-    centred = scaler.transform(vectors)
-    model = PCA(k=2, inputCol="__c", outputCol="__p").fit(centred)
-    loadings = model.pc.toArray()
-    signs = [1.0 if col[np.argmax(np.abs(col))] >= 0 else -1.0 for col in loadings.T]
-    axes = vector_to_array("__p")
-    projected = _with_axes(
-        model.transform(centred), axes[0] * F.lit(signs[0]), axes[1] * F.lit(signs[1])
-    ).drop("__v", "__c", "__p")
-    return Projection(projected, n, [float(x) for x in model.explainedVariance.toArray()])
+        return Axes(n, [])
+    centre = StandardScaler(inputCol="__v", outputCol="__c", withMean=True, withStd=False)
+    stages = Pipeline(stages=[centre, PCA(k=2, inputCol="__c", outputCol="__p")]).fit(_vectors(used, vec_col))
+    model = stages.stages[-1]
+    signs = tuple(
+        1.0 if axis[np.argmax(np.abs(axis))] >= 0 else -1.0 for axis in model.pc.toArray().T
+    )
+    return Axes(n, [float(x) for x in model.explainedVariance.toArray()], stages, signs)
 
 
-def jitter_if_degenerate(df: DataFrame, key: Column, seed: int = 42, eps: float = 1e-4) -> DataFrame:
-    """Add small Gaussian noise to both axes when the points have collapsed.
+def pca_2d(df: DataFrame, vec_col: str = "embedding", finite: bool = True) -> Projection:
+    """Fit on the usable rows of ``df`` and project them.
 
-    Collapsed: both variances below 1e-18, or at most two distinct points after rounding
-    to 12 digits. The noise of a row depends on its key and the seed only.
+    No usable row gives an empty result and one row gives the origin.
+    """
+    axes = fit_axes(df, vec_col, finite)
+    return Projection(axes.project(df, vec_col, finite), axes.n_used, axes.explained_variance_ratio)
+
+
+def is_collapsed(df: DataFrame) -> Column:
+    """True when both variances are below 1e-18, or at most two distinct points remain
+    after rounding to 12 digits. Counting distinct points stops at three.
     """
     x, y = (F.col(f"`{a}`") for a in AXES)
     flat = df.agg(
         F.coalesce((F.var_pop(x) < 1e-18) & (F.var_pop(y) < 1e-18), F.lit(False))
     ).scalar()
-    # Three distinct points are enough to know, so counting stops there.
     few = (
         df.select(F.round(x.cast("double"), 12), F.round(y.cast("double"), 12))
         .distinct().limit(3).agg(F.count("*") <= 2).scalar()
     )
+    return flat | few
+
+
+def jitter(df: DataFrame, collapsed: Column, key: Column, seed: int = 42, eps: float = 1e-4) -> DataFrame:
+    """Gaussian noise on both axes where ``collapsed``; it depends on key and seed only."""
+    x, y = (F.col(f"`{a}`") for a in AXES)
 
     def uniform(salt: str) -> Column:
         h = F.xxhash64(F.lit(f"{seed}|{salt}"), key)
@@ -80,7 +113,6 @@ def jitter_if_degenerate(df: DataFrame, key: Column, seed: int = 42, eps: float
 
     radius = F.sqrt(-2.0 * F.log(uniform("r"))) * float(eps)
     angle = uniform("a") * float(2 * np.pi)
-    collapsed = flat | few
     return _with_axes(
         df,
         F.when(collapsed, x + radius * F.cos(angle)).otherwise(x),
@@ -88,6 +120,11 @@ def jitter_if_degenerate(df: DataFrame, key: Column, seed: int = 42, eps: float
     )
 
 
+def jitter_if_degenerate(df: DataFrame, key: Column, seed: int = 42, eps: float = 1e-4) -> DataFrame:
+    """Add small noise when the points of ``df`` have collapsed."""
+    return jitter(df, is_collapsed(df), key, seed, eps)
+
+
 def pca_2d_joint(
     a: DataFrame,
     b: DataFrame,
@@ -99,24 +136,19 @@ def pca_2d_joint(
 ) -> tuple[DataFrame, DataFrame]:
     """Project two frames into one space fitted on both together.
 
-    Unusable rows are dropped; either frame may be empty.
+    Unusable rows are dropped; either frame may be empty. The fitted axes are applied to
+    each frame in place, so no rows have to be matched up again.
     """
     for df in (a, b):
         if vec_col not in df.columns:
             raise KeyError(f"both frames need the column '{vec_col}'")
-    tagged = (
-        a.select(F.lit("a").alias("__side"), F.col(key_a).cast("string").alias("__k"), vec_col)
-        .unionByName(b.select(F.lit("b").alias("__side"), F.col(key_b).cast("string").alias("__k"), vec_col))
+    axes = fit_axes(a.select(vec_col).unionByName(b.select(vec_col)), vec_col, finite=False)
+    placed = [axes.project(df, vec_col, finite=False) for df in (a, b)]
+    collapsed = is_collapsed(placed[0].select(*AXES).unionByName(placed[1].select(*AXES)))
+    return tuple(
+        jitter(df, collapsed, F.concat(F.lit(side), F.col(key).cast("string")), seed, eps)
+        for df, side, key in zip(placed, "ab", (key_a, key_b))
     )
-    both = jitter_if_degenerate(
-        pca_2d(tagged, vec_col, finite=False).rows, F.concat("__side", "__k"), seed, eps
-    )
-
-    def split(df: DataFrame, side: str, key: str) -> DataFrame:
-        found = both.filter(F.col("__side") == side).select("__k", *AXES)
-        return df.join(found, F.col(key).cast("string") == found["__k"]).drop("__k")
-
-    return split(a, "a", key_a), split(b, "b", key_b)
 
 
 def pca_meta(total: int, projection: Projection, seed: int, sample_n: int) -> dict:
@@ -140,6 +172,8 @@ def embedding_map(
     if total < MIN_EMBEDDINGS:
         return None
     sample = sample_rows(usable, key, sample_n, seed) if total > sample_n > 0 else usable
+    # Fitting reads the vectors several times; the sample is drawn once.
+    sample = materialize(sample, "sample")
     projection = pca_2d(sample, vec_col)
     return projection.rows, pca_meta(total, projection, seed, sample_n)
 
