@@ -53,9 +53,9 @@ def _property_names(props: DataFrame) -> list[str]:
     return [c[len(PREFIX):] for c in props.columns if c.startswith(PREFIX)]
 
 
-def _number(name: str):
-    c = F.col(f"{PREFIX}{name}").cast("double")
-    return F.when(~F.isnan(c), c)
+def _number(name: str) -> str:
+    """SQL for a property as a double with NaN as null."""
+    return f"nullif(cast(`{PREFIX}{name}` as double), double('NaN'))"
 
 
 def property_summary(props: DataFrame) -> DataFrame:
@@ -64,24 +64,17 @@ def property_summary(props: DataFrame) -> DataFrame:
     One aggregate over the wide table; only its single result row is turned long.
     """
     names = _property_names(props)
-    wide = props.agg(
+    wide = props.selectExpr(*[f"{_number(n)} as `{n}`" for n in names]).agg(
         F.count("*").alias("rows"),
         *[
-            F.struct(
-                F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"),
-                F.avg(v).alias("mean"), F.coalesce(F.stddev_samp(v), F.lit(0.0)).alias("std"),
-            ).alias(name)
-            for name in names
-            for v in [_number(name)]
-        ],
-    )
-    return wide.select(
-        "rows",
-        F.inline(F.array(*[
-            F.struct(F.lit(n).alias("property"), *[F.col(f"{n}.{f}").alias(f) for f in ("n", "min", "max", "mean", "std")])
+            F.expr(
+                f"struct('{n}' as property, count(`{n}`) as n, min(`{n}`) as min, max(`{n}`) as max, "
+                f"avg(`{n}`) as mean, coalesce(stddev_samp(`{n}`), 0.0D) as std) as `{n}`"
+            )
             for n in names
-        ])),
+        ],
     )
+    return wide.selectExpr("rows", f"inline(array({', '.join(f'`{n}`' for n in names)}))")
 
 
 def numeric_properties(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60) -> DataFrame:
@@ -97,24 +90,34 @@ def numeric_properties(props: DataFrame, min_n: int = 50, min_coverage: float =
 
 def long_properties(props: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(property, value) rows of non-null values, with the ``keep`` columns."""
-    names = _property_names(props)
-    return props.select(
-        *keep,
-        F.inline(F.array(*[
-            F.struct(F.lit(n).alias("property"), _number(n).alias("value")) for n in names
-        ])),
-    ).filter(F.col("value").isNotNull())
+    pairs = ", ".join(
+        f"struct('{n}' as property, {_number(n)} as value)" for n in _property_names(props)
+    )
+    return props.selectExpr(*keep, f"inline(array({pairs}))").filter("value is not null")
+
 
+def quartiles(props: DataFrame, groups: Sequence[str] = ("property",)) -> DataFrame:
+    """Exact quartiles per property (and table), written once for several consumers."""
+    keep = [g for g in groups if g != "property"]
+    return materialize(
+        exact_quantiles(long_properties(props, keep), "value", [0.25, 0.5, 0.75], groups), "quartiles"
+    )
 
-def property_stats(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60) -> DataFrame:
-    """n, min, p25, median, mean, p75, max, std of each numeric property."""
+
+def property_stats(
+    props: DataFrame, min_n: int = 50, min_coverage: float = 0.60, quarters: DataFrame | None = None
+) -> DataFrame:
+    """n, min, p25, median, mean, p75, max, std of each numeric property.
+
+    ``quarters`` takes the result of :func:`quartiles` when it is already at hand.
+    """
     summary = property_summary(props).filter(
         (F.col("n") >= min_n)
         & (F.col("n") / F.greatest(F.col("rows"), F.lit(1)) > min_coverage)
     )
-    quartiles = exact_quantiles(long_properties(props), "value", [0.25, 0.5, 0.75], ["property"])
+    quarters = quartiles(props) if quarters is None else quarters
     return (
-        summary.join(quartiles.drop("n"), "property")
+        summary.join(quarters.drop("n"), "property")
         .select(
             "property", "n", "min", F.col("q0").alias("p25"), F.col("q1").alias("median"),
             "mean", F.col("q2").alias("p75"), "max", "std",
@@ -123,16 +126,14 @@ def property_stats(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60
     )
 
 
-def _boxes(long: DataFrame, groups: list[str]) -> DataFrame:
-    quartiles = materialize(
-        exact_quantiles(long, "value", [0.25, 0.5, 0.75], groups), "quartiles"
-    )
+def _boxes(props: DataFrame, groups: list[str], quarters: DataFrame) -> DataFrame:
+    long = long_properties(props, [g for g in groups if g != "property"])
     reach = (F.col("q2") - F.col("q0")) * 1.5
-    inside = long.join(quartiles.drop("n"), groups).groupBy(*groups).agg(
+    inside = long.join(quarters.drop("n"), groups).groupBy(*groups).agg(
         F.min(F.when(F.col("value") >= F.col("q0") - reach, F.col("value"))).alias("low"),
         F.max(F.when(F.col("value") <= F.col("q2") + reach, F.col("value"))).alias("high"),
     )
-    return quartiles.join(inside, groups).select(
+    return quarters.join(inside, groups).select(
         *groups,
         "n",
         F.col("q0").alias("q1"),
@@ -143,17 +144,20 @@ def _boxes(long: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def box_stats(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60) -> DataFrame:
+def box_stats(
+    props: DataFrame, min_n: int = 50, min_coverage: float = 0.60, quarters: DataFrame | None = None
+) -> DataFrame:
     """Quartiles and 1.5·IQR whiskers of each numeric property; outliers are left out."""
     numeric = numeric_properties(props, min_n, min_coverage).select("property")
-    return _boxes(long_properties(props), ["property"]).join(numeric, "property", "left_semi")
+    quarters = quartiles(props) if quarters is None else quarters
+    return _boxes(props, ["property"], quarters).join(numeric, "property", "left_semi")
 
 
 def box_stats_by_table(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60) -> DataFrame:
     """As :func:`box_stats` per domain table, for properties with data there."""
     numeric = numeric_properties(props, min_n, min_coverage).select("property")
-    long = long_properties(props, ["Domain_table"])
-    return _boxes(long, ["Domain_table", "property"]).join(numeric, "property", "left_semi")
+    groups = ["Domain_table", "property"]
+    return _boxes(props, groups, quartiles(props, groups)).join(numeric, "property", "left_semi")
 
 
 def collapse_topk(

@@ -54,19 +54,13 @@ def exact_quantiles(
         Window.partitionBy(*groups).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     )
     slots = slots.withColumn("before", F.coalesce(before, F.lit(0)))
-    wanted = sketch.select(
-        *groups,
-        "n",
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(i).alias("i"), F.lit(side).alias("side"), rank.cast("bigint").alias("rank"),
-                (position - F.floor(position)).alias("part"),
-            )
-            for i, p in enumerate(probs)
-            for position in [(F.col("n") - 1) * F.lit(float(p))]
-            for side, rank in ((0, F.floor(position)), (1, F.ceil(position)))
-        ])),
+    ranks = ", ".join(
+        f"struct({i} as i, {side} as side, cast({rounding}((n - 1) * {float(p)!r}D) as bigint) as rank, "
+        f"(n - 1) * {float(p)!r}D - floor((n - 1) * {float(p)!r}D) as part)"
+        for i, p in enumerate(probs)
+        for side, rounding in ((0, "floor"), (1, "ceil"))
     )
+    wanted = sketch.selectExpr(*groups, "n", f"inline(array({ranks}))")
     targets = (
         wanted.join(slots, groups)
         .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("c")))
@@ -87,16 +81,10 @@ def exact_quantiles(
         .filter((F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("c")))
     )
 
-    def at(i: int, side: int):
-        return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("v")))
-
-    def part(i: int):
-        return F.max(F.when(F.col("i") == i, F.col("part")))
+    def quantile(i: int) -> str:
+        low, high = (f"max(case when i = {i} and side = {side} then v end)" for side in (0, 1))
+        return f"{low} + ({high} - {low}) * max(case when i = {i} then part end) as q{i}"
 
     return picked.groupBy(*groups).agg(
-        F.max("n").alias("n"),
-        *[
-            (at(i, 0) + (at(i, 1) - at(i, 0)) * part(i)).alias(f"q{i}")
-            for i in range(len(probs))
-        ],
+        F.max("n").alias("n"), *[F.expr(quantile(i)) for i in range(len(probs))]
     )

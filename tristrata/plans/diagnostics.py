@@ -14,6 +14,7 @@ from ..operators.profile import (
     numeric_properties,
     properties_table,
     property_stats,
+    quartiles,
     usable_embeddings,
 )
 from ..operators.projection import embedding_map, scatter_tables
@@ -52,11 +53,12 @@ def diagnostics(
 ) -> Diagnostics:
     """All tables of the characterisation; the flat property table is written once."""
     props = materialize(properties_table(catalogue.l2, catalogue.l3), "properties")
+    quarters = quartiles(props)
     result = Diagnostics(
         properties=props,
         numeric=numeric_properties(props),
-        stats=property_stats(props),
-        boxes=box_stats(props),
+        stats=property_stats(props, quarters=quarters),
+        boxes=box_stats(props, quarters=quarters),
         boxes_by_table=box_stats_by_table(props),
         coverage=embedding_coverage(catalogue.l2),
     )
