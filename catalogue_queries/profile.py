@@ -125,7 +125,9 @@ def category_counts(spark, sf_dir):
 def milestones(spark, sf_dir):
     """Events as a milestone log: per user, alternating start and done marks."""
     events = X.table(spark, sf_dir, "events")
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000 - F.lit(1704067200)
+    # Wall-clock difference, the same in every session time zone.
+    elapsed = "cast(ts as timestamp_ntz) - timestamp_ntz'2024-01-01 00:00:00'"
+    seconds = F.expr(f"cast(cast({elapsed} as interval second) as decimal(20, 6))").cast("double")
     return events.select(
         F.concat("event_type", F.when(F.col("event_id") % 2 == 0, ".start").otherwise(".done")).alias("name"),
         F.round(seconds, 3).alias("t_seconds"),

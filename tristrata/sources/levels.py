@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 from ..schema import LEVEL_SCHEMAS, ORDER
+from ..shared import materialize
 
 MAX_ROWS_PER_FILE = 2_000_000
 
@@ -55,7 +56,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         "coalesce(sum(n) over (order by file, block "
         "rows between unbounded preceding and 1 preceding), 0) as before",
     )
-    return numbered.join(running, ["file", "block"]).select(
+    # One row per split; written, so that the planner sees how small it is.
+    return numbered.join(materialize(running, "splits"), ["file", "block"]).select(
         (F.col("before") + F.col(ORDER) - F.col("first") + 1).alias("line"), "value"
     )
 
