@@ -127,10 +127,10 @@ def milestones(spark, sf_dir):
     events = X.table(spark, sf_dir, "events")
     # Wall-clock difference, the same in every session time zone.
     elapsed = "cast(ts as timestamp_ntz) - timestamp_ntz'2024-01-01 00:00:00'"
-    seconds = F.expr(f"cast(cast({elapsed} as interval second) as decimal(20, 6))").cast("double")
+    millis = F.expr(f"cast(floor(cast(cast({elapsed} as interval second) as decimal(20, 6)) * 1000) as bigint)")
     return events.select(
         F.concat("event_type", F.when(F.col("event_id") % 2 == 0, ".start").otherwise(".done")).alias("name"),
-        F.round(seconds, 3).alias("t_seconds"),
+        (millis / F.lit(1000.0)).alias("t_seconds"),
         F.col("user_id").alias("run_id"),
         F.col("event_id").alias("position"),
     )
@@ -139,7 +139,7 @@ def milestones(spark, sf_dir):
 MILESTONES = """
 WITH m AS (
   SELECT event_type AS stage, event_id % 2 = 0 AS is_start, event_id AS pos, user_id AS run_id,
-         round((epoch_us(ts) / 1000000) - 1704067200, 3) AS t FROM events)
+         ((epoch_us(ts) - 1704067200000000) // 1000) / 1000.0 AS t FROM events)
 """
 
 
