@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, toxicity, urls
+from . import bpe, jaccard, language, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +69,15 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: 3-word shingles, similarity of 0.9."""
+    return jaccard.link(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+@register
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language.classify(table(spark, sf_dir, "documents"))
