@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, language, quality, toxicity, urls
+from . import bpe, jaccard, katz, language, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,9 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     return language.classify(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Katz bigram model."""
+    return katz.classify(table(spark, sf_dir, "documents"))
