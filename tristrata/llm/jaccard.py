@@ -51,8 +51,9 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def set_table(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of documents (doc_id, n, name) and, with ``part`` set, slices of each task's counts."""
+    """Rows of documents (doc_id, print of the text, n, name) and, with ``part`` set, slices of each task's counts."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "print", "n", "name", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
@@ -62,15 +63,15 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
             counts += np.bincount((value >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
             doc_type = s.schema.field("doc_id").type
             none = pa.nulls(s.num_rows, pa.int32()), pa.nulls(s.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([s.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(name), *none], ["doc_id", "n", "name", "part", "counts"])
+            yield pa.RecordBatch.from_arrays([s.column("doc_id"), s.column("print"), pa.array(sizes, pa.int64()), pa.array(name), *none], names)
         if doc_type is not None:
             pieces = [c.tobytes() for c in counts.reshape(PARTS, -1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PARTS, doc_type), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())],
-                ["doc_id", "n", "name", "part", "counts"],
+                [pa.nulls(PARTS, doc_type), *[pa.nulls(PARTS, pa.int64())] * 3, pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, name bigint, part int, counts binary")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("print"))
+    return rows.mapInArrow(run, f"doc_id {kind}, print bigint, n bigint, name bigint, part int, counts binary")
 
 
 def global_order(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +250,7 @@ def verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFram
 
 
 def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id and text_print (xxhash64 of the text) of every row of ``docs`` (doc_id, text).
 
     Two documents link when den * |intersection| >= num * |union| of their shingle sets;
     component_id is the smallest doc_id reachable by links. A null text, or one without
@@ -261,7 +262,7 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = materialize(set_table(docs, width), "shingle-sets")
     rank, fragment = global_order(sets)
-    rows = sets.where("part is null").select("doc_id", "n", "name")
+    rows = sets.where("part is null").select("doc_id", "print", "n", "name")
     classes = rows.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
 
     def first_round(table: pa.Table) -> pa.Table:
@@ -295,5 +296,16 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = placed.select("name", "root").join(least, "root").select("name", "component_id")
     return rows.join(of_class, "name", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.col("print").alias("text_print")
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id is the smallest of their group of near copies.
+
+    Rows that share doc_id and text are one document and stay or go together; a null
+    doc_id stays.
+    """
+    linked = materialize(link(docs, width, num, den), "linked")
+    doomed = linked.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"), F.col("text_print").alias("gone_print")).distinct()
+    return docs.join(doomed, (F.col("doc_id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_print")), "left_anti")

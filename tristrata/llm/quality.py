@@ -184,6 +184,21 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     return wanted.mapInArrow(run, f"doc_id {wanted.schema['doc_id'].dataType.simpleString()}, score double")
 
 
+def accept(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    given = "n_chars" in docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for s in textual.slices(batches):
+            of, idx, val = features(s.column("text"), _n_chars(s) if given else np.full(s.num_rows, np.nan))
+            raw, _ = raw_scores(m, of, idx, val, s.num_rows)
+            yield s.filter(pa.array(1 / (1 + np.exp(-np.clip(raw, -30, 30))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``.
 

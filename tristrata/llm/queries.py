@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, katz, language, quality, toxicity, urls
+from . import bpe, decontaminate, jaccard, katz, language, linededup, neighbours, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,7 +74,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 3-word shingles, similarity of 0.9."""
-    return jaccard.link(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+    return jaccard.link(table(spark, sf_dir, "documents"), width=3, num=90, den=100).drop("text_print")
 
 
 @register
@@ -87,3 +87,24 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every document under a Katz bigram model."""
     return katz.classify(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items."""
+    return decontaminate.match(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages that repeat an earlier one."""
+    return linededup.dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_linededup"] = linededup.ORACLE
