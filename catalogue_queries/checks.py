@@ -55,7 +55,7 @@ def planted(spark, sf_dir):
     return {
         "l3": as_lines(c.l3, F.col("identity.domain_key")).select("line", "value"),
         "l2": patched(l2, F.substring("key", 8, 1), {
-            "0": F.concat(F.lit('{"extra":1,'), F.substring(value, 2, 1_000_000)),
+            "0": F.concat(F.lit('{"extra":1,'), F.substring(value, F.lit(2), F.length(value))),
             "1": F.replace(value, F.lit('"kind":"series"'), F.lit('"kind":"serie"')),
             "2": F.replace(value, F.lit('"series_key":"sha256:'), F.lit('"series_key":"md5:')),
             "3": F.regexp_replace(value, '"n_members":[0-9]+', '"n_members":null'),
@@ -71,6 +71,9 @@ def planted(spark, sf_dir):
             "4": F.replace(value, F.lit('"Year":'), F.lit('"Yr":1,"Year":')),
             "5": F.substring(value, F.lit(1), F.length(value) - 2),
             "6": F.replace(value, F.lit('"data":'), F.lit('"date":')),
+            # A missing number, as other writers spell it: valid.
+            "7": F.regexp_replace(value, r'^(.*?)"Value":[^,}]+', '$1"Value":NaN'),
+            "8": F.regexp_replace(value, r'^(.*?)"Value":[^,}]+', '$1"Value": -Infinity '),
         }),
     }
 
@@ -94,14 +97,25 @@ def valid(spark, sf_dir):
 @query(FAULTS + """
 SELECT 'l2' AS level, line, e2 AS error FROM faults
 UNION ALL SELECT 'l1', line, e1 FROM faults WHERE d1 <> '1'
+UNION ALL SELECT 'l3', """ + LINE.replace("series_key", "domain_key") + """ + k, e
+FROM domains, (VALUES (0, ''), (1, 'kind'), (2, 'dims'), (3, 'domain_key')) AS planted(k, e)
 """)
 def validate_level(spark, sf_dir):
-    """Error codes of every line; valid lines have none."""
-    found = {level: V.validate_level(df, level) for level, df in lines(spark, sf_dir).items()}
+    """Error codes of every line; valid lines have none. Domain lines come whole and with three faults."""
+    given = dict(lines(spark, sf_dir))
+    value = F.col("value")
+    faults = F.array(
+        value,
+        F.replace(value, F.lit('"kind":"domain"'), F.lit('"kind":"dom"')),
+        F.regexp_replace(value, r'"dims":\{[^}]*\},', ""),
+        F.replace(value, F.lit('"domain_key":"sha256:'), F.lit('"domain_key":"md5:')),
+    )
+    given["l3"] = given["l3"].select((F.col("line")).alias("at"), F.posexplode(faults).alias("k", "value")).select((F.col("at") + F.col("k")).alias("line"), "value")
+    found = {level: V.validate_level(df, level) for level, df in given.items()}
     parts = [
-        found[x].select(F.lit(x).alias("level"), "line", F.array_join("errors", ",").alias("error")) for x in ("l2", "l1")
+        found[x].select(F.lit(x).alias("level"), "line", F.array_join("errors", ",").alias("error")) for x in ("l2", "l1", "l3")
     ]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query(FAULTS + """

@@ -101,8 +101,8 @@ def expand_hierarchy(spark, sf_dir):
 
 
 @query("""
-SELECT series_key, CAST(p.Year AS BIGINT) AS Year, CASE WHEN p.Year % 5 = 0 THEN NULL ELSE p.Value END AS Value
-FROM (SELECT series_key, unnest(data) AS p FROM series) WHERE p.Year % 7 <> 0
+SELECT series_key, CAST(p.Year AS BIGINT) AS Year, CASE WHEN p.Year % 5 = 0 OR p.Year % 11 = 0 THEN NULL ELSE p.Value END AS Value
+FROM (SELECT series_key, unnest(data) AS p FROM series) WHERE p.Year % 7 <> 0 AND p.Year % 13 <> 0
 """)
 def coerce_year_value(spark, sf_dir):
     """Bundles turned to text with unreadable years and values; order is restored."""
@@ -110,8 +110,9 @@ def coerce_year_value(spark, sf_dir):
     texts = F.transform(
         F.reverse("data"),
         lambda p: F.struct(
-            F.when(p["Year"] % 7 == 0, "n.d.").otherwise(p["Year"].cast("string")).alias("Year"),
-            F.when(p["Year"] % 5 == 0, "missing").otherwise(p["Value"].cast("string")).alias("Value"),
+            F.when(p["Year"] % 7 == 0, "n.d.").when(p["Year"] % 13 == 0, F.concat(p["Year"].cast("string"), F.lit("f")))
+            .otherwise(p["Year"].cast("string")).alias("Year"),
+            F.when(p["Year"] % 5 == 0, "missing").when(p["Year"] % 11 == 0, "1d").otherwise(p["Value"].cast("string")).alias("Value"),
         ),
     )
     points = L.coerce_year_value(texts)
@@ -127,7 +128,7 @@ FROM (SELECT series_key, unnest(data) AS p FROM series)
 def sort_points(spark, sf_dir):
     """Points of a reversed bundle are put back in year order."""
     c = X.stored_catalogue(spark, sf_dir)
-    ordered = L.coerce_year_value(F.reverse("data"))
+    ordered = L.coerce_year_value(F.reverse("data"), numeric=True)
     rows = c.l1.select(F.col("identity.series_key").alias("series_key"), F.posexplode(ordered).alias("i", "p"))
     return rows.select("series_key", big(F.col("i") + 1).alias("position"), "p.Year")
 

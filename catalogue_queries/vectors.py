@@ -56,7 +56,8 @@ def _nonzero(df):
 def embed_text(spark, sf_dir):
     """Default encoder over whole documents."""
     docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _nonzero(V.embed_text(docs, "text", "vec"))
+    # The table is one row group: dealt out, its texts are encoded on all cores.
+    return _nonzero(V.embed_text(docs, "text", "vec", partitions=spark.sparkContext.defaultParallelism))
 
 
 @query(HASHED.format(text="lang || ' ' || source"), base=False)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,3 +187,26 @@ def test_bundles_keep_series_without_years(make_facts):
     bundles = record_bundles(dedup_keep_last(prepare_facts(make_facts(ROWS))))
     empty = [r["Area"] for r in bundles.collect() if not r["data"]]
     assert empty == ["C"]
+
+
+def test_unknown_model_needs_an_encoder():
+    from tristrata.config import EmbeddingSpec
+    from tristrata.plans.build import resolve_encoder
+
+    with pytest.raises(ValueError, match="no encoder"):
+        resolve_encoder(EmbeddingSpec(enabled=True, model_name="some/model"))
+    encoder, name = resolve_encoder(EmbeddingSpec(enabled=True, model_name="hashed-tokens-128"))
+    assert encoder.dim == 128 and name == "hashed-tokens-128"
+    assert resolve_encoder(EmbeddingSpec(enabled=True, model_name="m"), lambda: None)[1] == "m"
+    assert resolve_encoder(EmbeddingSpec()) == (None, None)
+
+
+def test_catalogue_with_a_callers_encoder(spark, make_facts):
+    from tristrata.config import EmbeddingSpec
+
+    facts = make_facts([("A", "i", "e", "u", "2000", "1"), ("B", "i", "e", "u", "2000", "2")])
+    spec = EmbeddingSpec(enabled=True, model_name="letters", l2_normalize=False)
+    c = build_catalogue(facts, embeddings=spec, encoder=lambda: lambda texts: np.array([[len(t), 1.0] for t in texts]))
+    for row in [*c.l2.collect(), *c.l3.collect()]:
+        assert row["description"]["embedding"] == [float(len(row["description"]["string"])), 1.0]
+        assert row["embedding_meta"]["embedding_model"] == "letters" and row["embedding_meta"]["embedding_dim"] == 2

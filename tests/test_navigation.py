@@ -49,12 +49,10 @@ def test_rank(catalogue, descending):
 
 
 @pytest.mark.parametrize("k", [1, 7, 40, 60])
-def test_sample_size_and_stability(catalogue, k, monkeypatch):
+def test_sample_size_and_stability(catalogue, k):
     one = keys(A.sample_series(catalogue.l2, k, seed=3))
     assert len(one) == len(set(one)) == min(k, 40)
     assert keys(A.sample_series(catalogue.l2.repartition(9), k, seed=3)) == one
-    monkeypatch.setattr(A, "ONE_PASS_LIMIT", 0)
-    assert keys(A.sample_series(catalogue.l2, k, seed=3)) == one
     if k == 7:
         assert keys(A.sample_series(catalogue.l2, k, seed=4)) != one
 
@@ -72,13 +70,11 @@ def test_lookups(catalogue):
             absent()
 
 
-def test_records_for_keys_forms(spark, catalogue, monkeypatch):
+def test_records_for_keys_forms(spark, catalogue):
     wanted = ranked(catalogue, True)[:5]
     frame = spark.createDataFrame([(k,) for k in wanted * 2], "k string")
     assert sorted(keys(L.records_for_keys(catalogue.l1, wanted))) == sorted(wanted)
     assert sorted(keys(L.records_for_keys(catalogue.l1, frame))) == sorted(wanted)
-    monkeypatch.setattr(L, "MAX_KEY_LITERALS", 1)
-    assert sorted(keys(L.records_for_keys(catalogue.l1, wanted))) == sorted(wanted)
 
 
 def test_unknown_domain_labels(catalogue):

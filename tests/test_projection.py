@@ -101,3 +101,13 @@ def test_encoders(spark):
     custom = embed_text(df, "t", "v", factory, normalize=False, batch_size=2).orderBy("id").collect()
     assert [r["v"] for r in custom] == [[5.0, 0.0], [6.0, 0.0], [0.0, 0.0], [1.0, 0.0]]
     assert embed_text(df.limit(0), "t", "v", factory).count() == 0
+
+
+def test_maps_keep_every_row_unless_asked(spark):
+    """More rows than any built-in sample ever had."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(10_500, 3))
+    df = frame(spark, x)
+    rows, facts = M.embedding_map(df, F.col(df.columns[0]).cast("string"))
+    assert rows.count() == facts["n_used"] == 10_500 and facts["sample_n"] is None
+    assert M.embedding_map(df, F.col(df.columns[0]).cast("string"), sample_n=100)[0].count() == 100

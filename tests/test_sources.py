@@ -27,11 +27,55 @@ def test_order_key_restores_file_order(spark, tmp_path, split):
     assert got == [*range(500), *range(500, 1100), *range(1200, 1700)]
 
 
+def test_order_key_of_files_packed_into_one_task(spark, tmp_path):
+    """Spark packs the largest file first: rows after it must not be numbered from its end."""
+    (tmp_path / "a00.csv").write_text("Area,Year,Value\n" + "".join(f"X,2000,{i}\n" for i in range(20_000)), encoding="utf-8")
+    for k in range(1, 12):
+        (tmp_path / f"a{k:02}.csv").write_text("Area,Year,Value\n" + "".join(f"X,2000,{20_000 + 3 * (k - 1) + i}\n" for i in range(3)), encoding="utf-8")
+    df = read_long_csv(spark, str(tmp_path))
+    assert df.select(F.spark_partition_id()).distinct().count() < 12
+    assert df.groupBy(ORDER).count().where("count > 1").isEmpty()
+    assert df.agg(F.max_by("Value", ORDER)).first()[0] == "20032"
+    got = [int(r[0]) for r in df.orderBy(ORDER).select("Value").collect()]
+    assert got == list(range(20_033))
+
+
+def test_order_key_of_compressed_and_whole_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text("n\n" + "".join(f"{i}\n" for i in range(50)), encoding="utf-8")
+    with gzip.open(tmp_path / "b.csv.gz", "wt") as out:
+        out.write("n\n" + "".join(f"{i}\n" for i in range(50, 40_000)))
+    (tmp_path / "c.csv").write_text("n\n" + "".join(f"{i}\n" for i in range(40_000, 40_003)), encoding="utf-8")
+    for multi_line in (False, True):
+        df = read_long_csv(spark, str(tmp_path), multi_line)
+        assert [int(r[0]) for r in df.orderBy(ORDER).select("n").collect()] == list(range(40_003))
+
+
+def test_sources_follow_each_other(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.csv").write_text(f"n\n{name}1\n{name}2\n", encoding="utf-8")
+    both = union_sources([read_long_csv(spark, str(tmp_path / f"{n}.csv")) for n in ("y", "x")])
+    assert [r["n"] for r in both.orderBy(ORDER).collect()] == ["y1", "y2", "x1", "x2"]
+
+
+def test_ragged_rows_and_names_that_differ_in_case(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('Area,Year,Value\na,2000,1,9,9\n', encoding="utf-8")
+    with pytest.raises(Exception, match="more than 3 cells"):
+        read_long_csv(spark, str(tmp_path / "r.csv")).collect()
+    cut = read_long_csv(spark, str(tmp_path / "r.csv"), ragged="cut").collect()
+    assert [(r["Area"], r["Value"]) for r in cut] == [("a", "1")]
+    (tmp_path / "s.csv").write_text('Area,area, AREA ,Year\n"a,b","c ""d"", e",x\nf,g,h,2000\n', encoding="utf-8")
+    df = read_long_csv(spark, str(tmp_path / "s.csv"))
+    assert df.columns == ["Area", "area_2", "AREA_3", "Year", ORDER]
+    assert [(r["Area"], r["area_2"], r["Year"]) for r in df.orderBy(ORDER).collect()] == [("a,b", 'c "d", e', None), ("f", "g", "2000")]
+
+
 def test_csv_quotes_and_missing(spark, tmp_path):
     (tmp_path / "x.csv").write_text(' A ,b\n"q ""1"", x",NA\n,NULL\n', encoding="utf-8")
     df = read_long_csv(spark, str(tmp_path / "x.csv"))
     assert df.columns == ["A", "b", ORDER]
-    assert [tuple(r) for r in df.select("A", "b").collect()] == [('q "1", x', None), (None, None)]
+    assert [tuple(r) for r in df.orderBy(ORDER).select("A", "b").collect()] == [('q "1", x', None), (None, None)]
 
 
 def test_load_and_union(spark):

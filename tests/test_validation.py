@@ -196,7 +196,7 @@ def test_errors_are_limited_per_level(spark, documents):
     docs = {level: ["{"] * 30 + rows for level, rows in parsed(documents).items()}
     summary, errors = check(spark, docs)
     assert summary["errors_l2"] == 30
-    assert [(lv, ln) for lv, ln, _ in errors] == [(lv, i) for lv in ("l1", "l2", "l3") for i in range(1, 21)]
+    assert [(lv, ln) for lv, ln, _ in errors] == [(lv, i) for lv in ("l1", "l2", "l3") for i in range(1, 31)]
     every = spark.createDataFrame([("l1", i, "e") for i in range(50)], "level string, line int, error string")
     assert [r["line"] for r in error_limit(every.repartition(4), 3).orderBy("line").collect()] == [0, 1, 2]
 
@@ -210,3 +210,16 @@ def test_manifest_document(spark, make_facts, tmp_path):
     assert [(a["artefact"], a["rows"]) for a in doc["artefacts"]] == [("l1", 1), ("l2", 1), ("l3", 1)]
     assert json.loads(doc["config"])["seed"] == 42
     assert doc["contract"]["schema_version"] == "v_0_1_0"
+
+
+def test_tokens_for_missing_numbers(spark):
+    from tristrata.operators.validate import plain_json
+
+    given = [
+        '{"a": NaN, "b":[-Infinity,Infinity,1]}', '{"NaN": "NaN, Infinity", "c": "\\"NaN"}', '{"a": xNaN}', '{"a": 1}',
+        '{"a": "' + "x\\n" * 50_000 + '", "b": NaN}',
+    ]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(given)], "i int, value string")
+    got = [r[0] for r in df.select("i", plain_json(F.col("value")).alias("v")).orderBy("i").select("v").collect()]
+    assert got[:4] == ['{"a": null, "b":[null,null,1]}', *given[1:4]]
+    assert got[4] == given[4].replace("NaN", "null")

@@ -76,7 +76,7 @@ class CatalogueConfig:
 
     def __post_init__(self) -> None:
         if not self.sources:
-            raise ValueError("sources must be non-empty")
+            raise ValueError("a catalogue needs one source at least")
 
     @classmethod
     def from_dict(cls, raw: dict[str, Any]) -> "CatalogueConfig":

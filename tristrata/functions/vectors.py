@@ -93,34 +93,33 @@ def embed_text(
     encoder: HashedTokens | Callable[[], Callable[[Sequence[str]], np.ndarray]] | None = None,
     normalize: bool = True,
     batch_size: int = 1024,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` (array<float>) holding the encoding of ``text_col``.
 
     ``encoder`` is a :class:`HashedTokens` (default) or a factory: it is called once
-    per task and returns ``encode(texts) -> 2-D array``, so a model loads once per task.
+    per task and returns ``encode(texts) -> 2-D array``, so a model loads once per task;
+    only the text goes through Python. ``partitions`` deals the rows out first, for a
+    table in fewer pieces than there are cores.
     """
     encoder = encoder or HashedTokens()
+    if partitions is not None:
+        df = df.repartition(partitions)
     if isinstance(encoder, HashedTokens):
         encoded = df.withColumn(out_col, encoder.column(F.col(text_col)))
     else:
-        schema = T.StructType(
-            [f for f in df.schema.fields if f.name != out_col]
-            + [T.StructField(out_col, T.ArrayType(T.FloatType()))]
-        )
-        names = schema.names
 
-        def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            model = None
-            for batch in batches:
-                model = model or encoder()
-                texts = batch[text_col].tolist()
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            model = encoder()
+            for texts in batches:
                 vectors: list = []
                 for start in range(0, len(texts), batch_size):
-                    block = np.asarray(model(texts[start:start + batch_size]), dtype=np.float32)
-                    vectors.extend(block)
-                yield batch.assign(**{out_col: vectors})[names]
+                    block = texts.iloc[start:start + batch_size].tolist()
+                    vectors.extend(np.asarray(model(block), dtype=np.float32))
+                yield pd.Series(vectors, dtype=object)
 
-        encoded = df.mapInPandas(encode, schema)
+        call = F.pandas_udf(encode, T.ArrayType(T.FloatType()))
+        encoded = df.withColumn(out_col, call(F.col(text_col)))
     if normalize:
         encoded = encoded.withColumn(out_col, l2_normalize(F.col(out_col)))
     return encoded

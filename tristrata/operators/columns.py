@@ -14,15 +14,20 @@ from ..functions.text import clean_str
 from ..schema import CODE_DIMS, L2_DIMS, L3_DIMS, ORDER
 
 
+def _positions(df: DataFrame) -> dict[str, int]:
+    """Place of the first column of each name, white space and case aside."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(df.columns):
+        places.setdefault(c.strip().lower(), i)
+    return places
+
+
 def resolve_column(df: DataFrame, name: str, optional: bool = False) -> str | None:
-    """First column whose trimmed name matches case-insensitively."""
-    wanted = name.strip().lower()
-    for c in df.columns:
-        if c.strip().lower() == wanted:
-            return c
-    if optional:
-        return None
-    raise KeyError(f"column not found: {name} (available: {df.columns[:20]})")
+    """The table's own spelling of a column name; of several the first."""
+    place = _positions(df).get(name.strip().lower())
+    if place is None and not optional:
+        raise KeyError(f"no column is called {name!r}; the table has {', '.join(map(repr, df.columns))}")
+    return None if place is None else df.columns[place]
 
 
 def drop_columns_matching(df: DataFrame, regex: str | None) -> DataFrame:
@@ -34,16 +39,12 @@ def drop_columns_matching(df: DataFrame, regex: str | None) -> DataFrame:
 
 
 def require_domain_columns(df: DataFrame) -> DataFrame:
-    """Make sure the three domain columns exist under their canonical names."""
-    renames = {}
-    for name in L3_DIMS:
-        if name in df.columns:
-            continue
-        found = resolve_column(df, name, optional=True)
-        if found is None:
-            raise KeyError(f"missing domain column '{name}'; source metadata must provide it")
-        renames[found] = name
-    return df.withColumnsRenamed(renames)
+    """The table with its three domain columns under their canonical names."""
+    found = {name: name if name in df.columns else resolve_column(df, name, optional=True) for name in L3_DIMS}
+    absent = [name for name, c in found.items() if c is None]
+    if absent:
+        raise KeyError(f"domain columns {absent} are neither in the table nor in the source's metadata")
+    return df.withColumnsRenamed({c: name for name, c in found.items() if c != name})
 
 
 def _is_numeric(df: DataFrame, name: str) -> bool:
@@ -82,6 +83,6 @@ def prepare_facts(df: DataFrame, spec: BuildSpec | None = None, order_col: str =
         *[clean_str(col(resolved[d])).alias(d) for d in L2_DIMS],
         parse_year(col(resolved["Year"]), _is_numeric(kept, resolved["Year"])).alias("Year"),
         parse_value(col(resolved["Value"]), _is_numeric(kept, resolved["Value"])).alias("Value"),
-        col(order).cast("bigint").alias(ORDER),
+        (col(order) if isinstance(kept.schema[order].dataType, T.DecimalType) else col(order).cast("bigint")).alias(ORDER),
         *[clean_code(col(c)).alias(name) for name, c in codes.items() if c],
     )

@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import parse_value, parse_year
 from ..functions.text import extra_dims, plot_header
 from ..schema import L2_DIMS, L3_DIMS
 
-# A caller's own list of keys becomes an IN filter up to this length.
-MAX_KEY_LITERALS = 10_000
-
 # Properties shown on a card.
 CARD_PROPERTIES = ["n_members", "year_min", "year_max", "zeros", "nulls", "trainable"]
 
@@ -22,10 +20,11 @@ def _dim(dims: Column, name: str) -> Column:
 
 
 def domain_labels(domains: DataFrame) -> DataFrame:
-    """One row per domain key with its dimension map."""
-    return domains.select(
-        F.col("identity.domain_key").alias("domain_key"), F.col("dims").alias("l3")
-    ).dropDuplicates(["domain_key"])
+    """One row per domain key with its dimension map; of equal keys the last card counts."""
+    placed = domains.select(
+        F.col("identity.domain_key").alias("domain_key"), "dims", F.monotonically_increasing_id().alias("at")
+    )
+    return placed.groupBy("domain_key").agg(F.max_by("dims", "at").alias("l3"))
 
 
 def with_domain_dims(df: DataFrame, domains: DataFrame) -> DataFrame:
@@ -103,19 +102,21 @@ def records_for_keys(records: DataFrame, keys: DataFrame | Sequence[str]) -> Dat
     if isinstance(keys, DataFrame):
         wanted = keys.select(F.col(keys.columns[0]).alias("__key"))
         return records.join(wanted, key == wanted["__key"], "left_semi")
-    if len(keys) <= MAX_KEY_LITERALS:
-        return records.filter(key.isin(list(keys)))
     wanted = records.sparkSession.createDataFrame([(k,) for k in keys], "__key string")
     return records_for_keys(records, wanted)
 
 
-def coerce_year_value(data: Column) -> Column:
-    """Points with a readable year, numbers coerced, in year order."""
+def coerce_year_value(data: Column, numeric: bool = False) -> Column:
+    """Points with a readable year, numbers coerced, in year order.
+
+    Texts are read as in the build, so ``1d`` is no number; ``numeric`` says that both
+    fields are numbers already.
+    """
     points = F.transform(
         data,
         lambda p: F.struct(
-            p["Year"].cast("string").try_cast("double").try_cast("bigint").alias("Year"),
-            p["Value"].cast("string").try_cast("double").alias("Value"),
+            parse_year(p["Year"] if numeric else p["Year"].cast("string"), numeric).alias("Year"),
+            parse_value(p["Value"] if numeric else p["Value"].cast("string"), numeric).alias("Value"),
         ),
     )
     return F.array_sort(F.filter(points, lambda p: p["Year"].isNotNull()))
@@ -143,10 +144,7 @@ def explode_points(records: DataFrame, data: Column | None = None) -> DataFrame:
 
 def expand_hierarchy(domains: DataFrame, series: DataFrame, records: DataFrame) -> DataFrame:
     """Flat view domain → series → point; a series without points keeps one row."""
-    l3 = domains.select(
-        F.col("identity.domain_key").alias("domain_key"),
-        *[_dim(F.col("dims"), d).alias(d) for d in L3_DIMS],
-    )
+    l3 = domain_labels(domains).select("domain_key", *[_dim(F.col("l3"), d).alias(d) for d in L3_DIMS])
     l2 = series.select(
         F.col("identity.domain_key").alias("domain_key"),
         F.col("identity.series_key").alias("series_key"),

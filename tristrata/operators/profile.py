@@ -14,8 +14,6 @@ from .lookup import fallback_labels, with_domain_dims
 from .quantiles import exact_quantiles
 
 PREFIX = "prop__"
-# A category list of this size or less is broadcast.
-MAX_KEPT_LABELS = 10_000
 
 
 def properties_table(series: DataFrame, domains: DataFrame) -> DataFrame:
@@ -172,7 +170,7 @@ def collapse_topk(
 
     Null counts as ""; ``empty`` renames that label, ``None`` leaves it. With at most
     ``k`` labels nothing is renamed. Labels are counted map-side first, and only the
-    ``k`` kept ones are joined back.
+    ``k`` kept ones are joined back, without a hint: labels may be long.
     """
     text = F.coalesce(F.col(col).cast("string"), F.lit(""))
     label = text if empty is None else F.when(text == "", empty).otherwise(text)
@@ -184,8 +182,6 @@ def collapse_topk(
         .limit(int(k))
         .select("__label", F.lit(True).alias("__kept"))
     )
-    if k <= MAX_KEPT_LABELS:
-        top = F.broadcast(top)
     return (
         labelled.join(top, "__label", "left")
         .withColumn(out, F.when(F.col("__kept"), F.col("__label")).otherwise(F.lit(other)))

@@ -151,7 +151,7 @@ def pca_2d_joint(
     )
 
 
-def pca_meta(total: int, projection: Projection, seed: int, sample_n: int) -> dict:
+def pca_meta(total: int, projection: Projection, seed: int, sample_n: int | None) -> dict:
     ratio = projection.explained_variance_ratio
     return {
         "method": "pca",
@@ -164,15 +164,15 @@ def pca_meta(total: int, projection: Projection, seed: int, sample_n: int) -> di
 
 
 def embedding_map(
-    df: DataFrame, key: Column, vec_col: str = "embedding", sample_n: int = 10_000, seed: int = 42
+    df: DataFrame, key: Column, vec_col: str = "embedding", sample_n: int | None = None, seed: int = 42
 ) -> tuple[DataFrame, dict] | None:
-    """Sampled map with its facts; None with fewer than ten usable vectors."""
+    """Map of all usable vectors, or ``sample_n`` of them, with its facts; None with fewer than ten."""
     usable = df.filter(is_usable(F.col(vec_col)))
     total = usable.count()
     if total < MIN_EMBEDDINGS:
         return None
-    sample = sample_rows(usable, key, sample_n, seed) if total > sample_n > 0 else usable
-    # Fitting reads the vectors several times; the sample is drawn once.
+    sample = usable if sample_n is None else sample_rows(usable, key, sample_n, seed)
+    # Fitting reads the vectors several times; they are gathered once.
     sample = materialize(sample, "sample")
     projection = pca_2d(sample, vec_col)
     return projection.rows, pca_meta(total, projection, seed, sample_n)
@@ -181,11 +181,10 @@ def embedding_map(
 def scatter_table(points: DataFrame, color_dim: str, k: int = 10, other: str = "(other)", empty: str | None = None) -> DataFrame:
     """Points with the collapsed label of one dimension and that label's count."""
     if color_dim not in points.columns:
-        raise ValueError(f"unknown dimension '{color_dim}', have {sorted(points.columns)[:40]}")
+        raise ValueError(f"unknown dimension '{color_dim}', have {sorted(points.columns)}")
     labelled = collapse_topk(points, color_dim, k, other, empty)
-    # At most k + 1 labels.
     counts = category_counts(labelled).withColumnRenamed("count", "label_count")
-    return labelled.join(F.broadcast(counts), "label").withColumn("dim", F.lit(color_dim))
+    return labelled.join(counts, "label").withColumn("dim", F.lit(color_dim))
 
 
 def scatter_tables(points: DataFrame, k: int = 10) -> DataFrame:

@@ -5,28 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this sample size a counting pass first narrows the rows that get sorted.
-ONE_PASS_LIMIT = 1000
+# Hexadecimal digits of the hash prefix that rows are counted by.
 PREFIX = 4
 
 
 def sample_rows(df: DataFrame, key: Column, k: int, seed: int | str = 42) -> DataFrame:
     """``k`` rows in the order of a seeded hash of their key.
 
-    The choice depends on the keys and the seed only, not on partitioning. For large
-    ``k`` every task would forward ``k`` candidates to one final sort, so the hash
-    prefix that holds the k-th row is found first (at most 65 536 counts) and the sort
+    The choice depends on the keys and the seed only, not on partitioning. The hash
+    prefix that holds the k-th row is found first (at most 65 536 counts), so the sort
     sees little more than ``k`` rows in total.
     """
     hashed = df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}|"), key)))
-    if k > ONE_PASS_LIMIT:
-        prefix = F.substring("__h", 1, PREFIX)
-        counts = hashed.groupBy(prefix.alias("p")).agg(F.count("*").alias("n"))
-        running = counts.select(
-            "p", F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)).alias("upto")
-        )
-        cut = running.filter(F.col("upto") >= k).agg(F.min("p")).scalar()
-        hashed = hashed.filter(prefix <= F.coalesce(cut, F.lit("g")))
+    prefix = F.substring("__h", 1, PREFIX)
+    counts = hashed.groupBy(prefix.alias("p")).agg(F.count("*").alias("n"))
+    running = counts.select(
+        "p", F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)).alias("upto")
+    )
+    cut = running.filter(F.col("upto") >= k).agg(F.min("p")).scalar()
+    hashed = hashed.filter(prefix <= F.coalesce(cut, F.lit("g")))
     return hashed.orderBy("__h", key).limit(int(k)).drop("__h")
 
 

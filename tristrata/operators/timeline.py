@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stage_seconds(events: DataFrame, position: str, run: str = "run_id") -> DataFrame:
+def stage_seconds(events: DataFrame, position: str, run: str = "run_id", strict: bool = True) -> DataFrame:
     """Seconds from the first ``<stage>.start`` to the last ``<stage>.done`` after it.
 
     Event order is the ``position`` column. The last ``done`` of a stage counts when it
     follows the first ``start``; other events are ignored. Plain minima and maxima, so
-    events combine map-side and a stage of any size stays cheap.
+    events combine map-side and a stage of any size stays cheap. ``strict=False`` also
+    takes a ``done`` at the position of its ``start``, as when a clock is the position.
     """
     name, pos = F.col("name"), F.col(position)
     t = F.coalesce("t_seconds", F.lit(0.0))
@@ -28,7 +29,7 @@ def stage_seconds(events: DataFrame, position: str, run: str = "run_id") -> Data
             F.min_by(t, F.when(start, pos)).alias("t0"),
             F.max_by(t, F.when(done, pos)).alias("t1"),
         )
-        .filter(F.col("last") > F.col("first"))
+        .filter(F.col("last") > F.col("first") if strict else F.col("last") >= F.col("first"))
         .select(run, "stage", (F.col("t1") - F.col("t0")).alias("seconds"))
     )
 

@@ -14,6 +14,18 @@ PLAIN_INTS = ["n_members", "zeros", "nulls"]
 FLOATS = PROPERTIES[5:]
 
 
+def plain_json(line: Column) -> Column:
+    """The line with the number tokens NaN and Infinity outside texts as null.
+
+    Only lines that hold such a word are taken apart, into texts and what is between.
+    """
+    parts = F.regexp_extract_all(line, F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"]+|"'), F.lit(0))
+    told = F.transform(
+        parts, lambda p: F.when(p.startswith('"'), p).otherwise(F.regexp_replace(p, r"(?<![\w.])-?(?:NaN|Infinity)(?!\w)", "null"))
+    )
+    return F.when(line.rlike("NaN|Infinity"), F.array_join(told, "")).otherwise(line)
+
+
 def _get(node: Column, name: str) -> Column:
     return F.try_element_at(node, F.lit(name))
 
@@ -118,7 +130,7 @@ def validate_level(lines: DataFrame, level: str) -> DataFrame:
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     parsed = lines.select(
-        "line", _object(F.try_parse_json("value")).alias("doc")
+        "line", _object(F.try_parse_json(plain_json(F.col("value")))).alias("doc")
     )
     parts = {n: _get(F.col("doc"), n) for n in LEVEL_SCHEMAS[level].names}
     objects = [n for n in ("identity", "description", "properties", "embedding_meta") if n in parts]
@@ -190,7 +202,7 @@ def _valid(checked: DataFrame) -> DataFrame:
     return checked.filter(F.size("errors") == 0)
 
 
-def validation_errors(checked: dict[str, DataFrame], max_errors: int | None = 20) -> DataFrame:
+def validation_errors(checked: dict[str, DataFrame], max_errors: int | None = None) -> DataFrame:
     """(level, line, error) of faulty lines; the first ``max_errors`` lines per level.
 
     ``None`` reports every faulty line.

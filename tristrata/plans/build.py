@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import BuildSpec, CatalogueConfig, EmbeddingSpec
-from ..functions.vectors import embed_distinct, embed_text
+from ..functions.vectors import HashedTokens, embed_distinct, embed_text
 from ..operators.columns import prepare_facts
 from ..operators.levels import domain_level, records_level, series_level, with_keys
 from ..operators.series import (
@@ -21,7 +22,7 @@ from ..operators.series import (
 )
 from ..schema import L3_DIMS, LEVEL_SCHEMAS, ORDER
 from ..shared import materialize
-from ..sources.levels import read_jsonl_level, write_jsonl_level
+from ..sources.levels import dataset_manifest, read_jsonl_level, write_jsonl_level
 from ..sources.tables import read_sources
 
 
@@ -37,6 +38,21 @@ class Catalogue:
         return catalogue_counts(self.l3, self.l2)
 
 
+def resolve_encoder(spec: EmbeddingSpec, encoder=None) -> tuple[object, str | None]:
+    """The encoder to run and the model name to record; an unknown name without encoder is an error.
+
+    An encoder that has a ``name`` goes by it, any other by the configured name.
+    """
+    if not spec.enabled:
+        return None, None
+    if encoder is None:
+        hashed = re.fullmatch(r"hashed-tokens-([0-9]+)", spec.model_name)
+        if hashed is None:
+            raise ValueError(f"no encoder is given for the model {spec.model_name!r}")
+        encoder = HashedTokens(int(hashed[1]))
+    return encoder, getattr(encoder, "name", spec.model_name)
+
+
 def _with_embeddings(df: DataFrame, spec: EmbeddingSpec, level: str, encoder) -> DataFrame:
     if not spec.enabled or level not in spec.levels:
         return df
@@ -74,7 +90,7 @@ def build_catalogue(
     """
     spec = spec or BuildSpec()
     embeddings = embeddings or EmbeddingSpec()
-    model = embeddings.model_name if embeddings.enabled else None
+    encoder, model = resolve_encoder(embeddings, encoder)
     prepared = prepare_facts(facts, spec, order_col)
     bundles = record_bundles(dedup_keep_last(prepared, spec.shuffle))
     if stage:
@@ -107,11 +123,25 @@ def read_catalogue(spark: SparkSession, out: str) -> Catalogue:
 
 
 def run(spark: SparkSession, config: CatalogueConfig, out: str, encoder=None) -> dict:
-    """Read the configured sources, build, write, and return paths and counts."""
+    """Read the configured sources, build, write, and return paths and counts.
+
+    Below ``out`` lie the levels and ``manifest``: name, rows, file, sha256 and bytes of
+    every part file. Counts come from the staged bundles; no level is read again.
+    """
+    resolve_encoder(config.embeddings, encoder)
     facts = read_sources(spark, config.sources)
     built = build_catalogue(
         facts, config.build, config.embeddings, encoder, stage=True
     )
     paths = write_catalogue(built, out)
-    counts = read_catalogue(spark, out).counts().first().asDict()
-    return {"run_id": config.run_id, "paths": paths, "counts": counts, "config": asdict(config)}
+    points = built.l1.agg(
+        F.count("*").alias("series"), F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("records")
+    ).first()
+    counts = {"domains": built.l3.count(), **points.asDict()}
+    rows = F.create_map(F.lit("l3"), F.lit(counts["domains"]), F.lit("l2"), F.lit(counts["series"]), F.lit("l1"), F.lit(counts["series"]))
+    manifest = dataset_manifest(spark, paths).withColumn("rows_of_artefact", rows[F.col("artefact")])
+    manifest.write.json(f"{out}/manifest")
+    return {
+        "run_id": config.run_id, "seed": config.seed, "paths": paths, "counts": counts,
+        "manifest": f"{out}/manifest", "config": asdict(config),
+    }

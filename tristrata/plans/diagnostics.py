@@ -49,7 +49,7 @@ def labelled_embeddings(catalogue: Catalogue) -> DataFrame:
 
 
 def diagnostics(
-    catalogue: Catalogue, with_map: bool = True, sample_n: int = 10_000, k: int = 10, seed: int = 42
+    catalogue: Catalogue, with_map: bool = True, sample_n: int | None = None, k: int = 10, seed: int = 42
 ) -> Diagnostics:
     """All tables of the characterisation; the flat property table is written once."""
     props = materialize(properties_table(catalogue.l2, catalogue.l3), "properties")

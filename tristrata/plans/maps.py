@@ -28,16 +28,17 @@ def map_l2_l3(
     catalogue: Catalogue,
     color_dim: str,
     symbol_dim: str = "Domain_table",
-    sample_n: int = 5000,
+    sample_n: int | None = None,
     target_points: int | None = None,
     topk_colors: int = 12,
     seed: int = 42,
     eps: float = 1e-4,
 ) -> JointMap:
-    """Project sampled series and all domains into one space."""
+    """Project all series, or ``sample_n`` of them, and all domains into one space."""
     usable = catalogue.l2.filter(is_usable(F.col("description.embedding"), finite=False))
     key = F.col("identity.series_key")
-    sample = subsample(sample_rows(usable, key, sample_n, seed), key, target_points, seed)
+    chosen = usable if sample_n is None else sample_rows(usable, key, sample_n, seed)
+    sample = subsample(chosen, key, target_points, seed)
     series = materialize(label_series(sample, catalogue.l3), "map-series")
     domains = catalogue.l3.filter(is_usable(F.col("description.embedding"), finite=False)).select(
         F.col("identity.domain_key").alias("domain_key"),
@@ -45,7 +46,7 @@ def map_l2_l3(
         F.col("description.embedding").alias("embedding"),
     )
     if color_dim not in series.columns:
-        raise ValueError(f"unknown colour dimension '{color_dim}', have {sorted(series.columns)[:40]}")
+        raise ValueError(f"unknown colour dimension '{color_dim}', have {sorted(series.columns)}")
     if symbol_dim not in domains.columns:
         raise ValueError(f"unknown symbol dimension '{symbol_dim}', have {sorted(domains.columns)}")
     for level, df in (("series", series), ("domain", domains)):

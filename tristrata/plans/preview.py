@@ -41,7 +41,7 @@ def series_preview(
         series_key = found[0]
     card = lookup_series(catalogue.l2, catalogue.l3, series_key, strict=True)
     records = lookup_records(catalogue.l1, series_key, strict=True)
-    clean = records.select("identity", coerce_year_value(F.col("data")).alias("data"))
+    clean = records.select("identity", coerce_year_value(F.col("data"), numeric=True).alias("data"))
     return Preview(
         title=card.select(
             F.col("identity.series_key").alias("series_key"),

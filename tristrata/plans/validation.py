@@ -22,7 +22,7 @@ class Validation:
     errors: DataFrame
 
 
-def validate_lines(lines: dict[str, DataFrame], max_errors: int | None = 20) -> Validation:
+def validate_lines(lines: dict[str, DataFrame], max_errors: int | None = None) -> Validation:
     """Check (line, value) frames of the three levels.
 
     Each level is parsed once; only its links and error codes are kept for the checks.
@@ -34,7 +34,7 @@ def validate_lines(lines: dict[str, DataFrame], max_errors: int | None = 20) ->
 
 
 def validate_catalogue(
-    spark: SparkSession, paths: dict[str, str], max_errors: int | None = 20
+    spark: SparkSession, paths: dict[str, str], max_errors: int | None = None
 ) -> Validation:
     return validate_lines({level: read_lines(spark, paths[level]) for level in LEVELS}, max_errors)
 

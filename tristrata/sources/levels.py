@@ -27,8 +27,15 @@ def write_jsonl_level(df: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def read_jsonl_level(spark: SparkSession, path: str, level: str) -> DataFrame:
-    """Typed scan of a level; blank lines are skipped, only used fields are parsed."""
-    return spark.read.schema(LEVEL_SCHEMAS[level]).json(path)
+    """Typed scan of a level; blank lines are skipped, only used fields are parsed.
+
+    A point whose Value is the token NaN has no value.
+    """
+    rows = spark.read.schema(LEVEL_SCHEMAS[level]).json(path)
+    if level != "l1":
+        return rows
+    value = lambda p: F.when(~F.isnan(p["Value"]), p["Value"])
+    return rows.withColumn("data", F.transform("data", lambda p: p.withField("Value", value(p))))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
