@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tristrata.config import CatalogueConfig, EmbeddingSpec, SourceSpec
+from tristrata.operators.projection import AXES
+from tristrata.plans.build import run
 from tristrata.plans.diagnostics import diagnostics as characterise
 from tristrata.plans.maps import map_l2_l3 as joint_map
 from tristrata.plans.preview import series_preview as preview
-from tristrata.operators.projection import AXES
+from tristrata.shared import scratch_path
 
 from . import fixtures as X
 from .lookup import KNOWN_KEY, POINTS_TEXT, points_text
@@ -29,6 +32,33 @@ def build_catalogue(spark, sf_dir):
     )
 
 
+@query("""
+SELECT 'l3' AS artefact, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_points, 'hashed-tokens-64' AS model, true AS checksums FROM domains
+UNION ALL SELECT 'l2', count(*), CAST(sum(n_members) AS BIGINT), 'hashed-tokens-64', true FROM series
+UNION ALL SELECT 'l1', count(*), CAST(sum(n_members) AS BIGINT), NULL, true FROM series
+""")
+def run_catalogue(spark, sf_dir):
+    """Both sources as delimited files, built, written and counted by one call; rows from its manifest."""
+    root = scratch_path(spark, "run")
+    sources = []
+    for number, (name, facts, meta) in enumerate((("sales", X.sales_facts, X.SALES_META), ("web", X.web_facts, X.WEB_META)), 1):
+        facts(spark, sf_dir).orderBy("seq").drop("seq").write.option("header", True).csv(f"{root}/{name}")
+        sources.append(SourceSpec(number, f"{root}/{name}", meta))
+    config = CatalogueConfig(sources, embeddings=EmbeddingSpec(enabled=True))
+    done = run(spark, config, f"{root}/out")
+    manifest = spark.read.json(done["manifest"])
+    levels = {x: spark.read.json(done["paths"][x]) for x in ("l3", "l2")}
+    model = None
+    for x, df in levels.items():
+        part = df.select(F.lit(x).alias("artefact"), F.col("embedding_meta.embedding_model").alias("model")).distinct()
+        model = part if model is None else model.unionByName(part)
+    points = F.when(F.col("artefact") == "l3", 0).otherwise(done["counts"]["records"]).cast("bigint")
+    files = manifest.groupBy("artefact").agg(
+        F.first("rows_of_artefact").alias("n_rows"), (F.min(F.length("sha256")) == 64).alias("checksums")
+    )
+    return files.join(model, "artefact", "left").select("artefact", "n_rows", points.alias("n_points"), "model", "checksums")
+
+
 @query(f"""
 , {NUMERIC}
 SELECT property, count(value) AS n, {sql_sig('quantile_cont(value, 0.5)', 12)} AS median, {sql_sig('avg(value)')} AS mean,
