@@ -29,8 +29,8 @@ def bundles(spark, sf_dir, shuffle="spread"):
     return S.record_bundles(S.dedup_keep_last(prepared(spark, sf_dir), shuffle))
 
 
-def statistics(spark, sf_dir):
-    return S.series_stats(bundles(spark, sf_dir))
+def statistics(spark, sf_dir, only=None):
+    return S.series_stats(bundles(spark, sf_dir), only)
 
 
 def flat_properties(df, *keys):
@@ -69,7 +69,8 @@ def dedup_keep_last_colocated(spark, sf_dir):
 
 @query(f"SELECT {DIMS}, min(Year) AS year_min, max(Year) AS year_max, count(*) AS n_members FROM points GROUP BY ALL")
 def series_extent(spark, sf_dir):
-    return statistics(spark, sf_dir).select(*SERIES_DIMS, "properties.year_min", "properties.year_max", "properties.n_members")
+    extent = ["year_min", "year_max", "n_members"]
+    return statistics(spark, sf_dir, extent).select(*SERIES_DIMS, "properties.*")
 
 
 @query(f"""
@@ -79,14 +80,14 @@ FROM points GROUP BY ALL
 """)
 def zeros_nulls(spark, sf_dir):
     p = [F.col(f"properties.{n}") for n in ("n_members", "zeros", "nulls")]
-    return statistics(spark, sf_dir).select(
+    return statistics(spark, sf_dir, ["n_members", "zeros", "nulls"]).select(
         *SERIES_DIMS, "properties.zeros", "properties.nulls", S.zero_share(*p).alias("zero_share")
     )
 
 
 @query(f"SELECT {DIMS}, round(entropy, 6) AS entropy FROM series")
 def series_entropy(spark, sf_dir):
-    return statistics(spark, sf_dir).select(*SERIES_DIMS, F.round("properties.entropy", 6).alias("entropy"))
+    return statistics(spark, sf_dir, ["entropy"]).select(*SERIES_DIMS, F.round("properties.entropy", 6).alias("entropy"))
 
 
 @query(f"""

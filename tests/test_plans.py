@@ -105,3 +105,19 @@ def test_scratch_requires_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         scratch_root(Fake())
+
+
+def test_unread_properties_are_not_computed(spark, make_facts):
+    from tristrata.operators.series import record_bundles, dedup_keep_last, series_stats
+    from tristrata.operators.columns import prepare_facts
+    from pyspark.sql import functions as F
+
+    facts = prepare_facts(make_facts([("A", "i", "e", "u", "2000", "1"), ("A", "i", "e", "u", "2001", "2")]))
+    bundles = record_bundles(dedup_keep_last(facts))
+    stats = series_stats(bundles)
+    optimized = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LOG2" in optimized(stats)
+    few = series_stats(bundles, ["year_min", "n_members", "zeros"]).select("properties.*")
+    assert "LOG2" not in optimized(few)
+    assert "LOG2" not in optimized(stats.agg(F.sum("properties.n_members")))
+    assert few.first() == (2000, 2, 0)

@@ -7,7 +7,7 @@ order, whatever the partitioning or retries did before.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -184,22 +184,23 @@ def auto_bin_count(values: Column) -> Column:
     return let(F.array_sort(values), count)
 
 
-def series_properties(data: Column) -> Column:
-    """The eleven properties of a series from its year-sorted (Year, Value) array."""
-
-    def build(v: Column) -> Column:
-        return F.struct(
-            F.get(data, F.lit(0))["Year"].alias("year_min"),
-            F.get(data, F.size(data) - 1)["Year"].alias("year_max"),
-            F.size(data).cast("bigint").alias("n_members"),
-            F.size(F.filter(v, lambda x: x == 0)).cast("bigint").alias("zeros"),
-            (F.size(data) - F.size(v)).cast("bigint").alias("nulls"),
-            F.array_min(v).alias("min"),
-            F.array_max(v).alias("max"),
-            mean_of(v).alias("mean"),
-            median_of(v).alias("median"),
-            variance_of(v).alias("variance"),
-            entropy_of(v).alias("entropy"),
-        )
+def series_properties(data: Column, values: Column, only: Sequence[str] | None = None) -> Column:
+    """Properties of a series from its year-sorted (Year, Value) array: eleven, or ``only`` some.
 
-    return let(point_values(data), build)
+    ``values`` is a column of ``point_values(data)``, so that it is computed once.
+    """
+    v = values
+    every = {
+        "year_min": lambda: F.get(data, F.lit(0))["Year"],
+        "year_max": lambda: F.get(data, F.size(data) - 1)["Year"],
+        "n_members": lambda: F.size(data).cast("bigint"),
+        "zeros": lambda: F.size(F.filter(v, lambda x: x == 0)).cast("bigint"),
+        "nulls": lambda: (F.size(data) - F.size(v)).cast("bigint"),
+        "min": lambda: F.array_min(v),
+        "max": lambda: F.array_max(v),
+        "mean": lambda: mean_of(v),
+        "median": lambda: median_of(v),
+        "variance": lambda: variance_of(v),
+        "entropy": lambda: entropy_of(v),
+    }
+    return F.struct(*[every[name]().alias(name) for name in (only or every)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -74,11 +75,10 @@ def record_bundles(points: DataFrame) -> DataFrame:
     )
 
 
-def series_stats(bundles: DataFrame) -> DataFrame:
-    """Bundles that have at least one point, with their property struct."""
-    return bundles.filter(F.size("data") > 0).withColumn(
-        "properties", series_properties(F.col("data"))
-    )
+def series_stats(bundles: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """Bundles that have at least one point, with their property struct, whole or ``only`` some fields."""
+    filled = bundles.filter(F.size("data") > 0).withColumn("__values", point_values(F.col("data")))
+    return filled.withColumn("properties", series_properties(F.col("data"), F.col("__values"), only)).drop("__values")
 
 
 def enough_points(n_members: Column, k: int) -> Column:
