@@ -31,6 +31,7 @@ CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 PARTS = 256
 FRAGMENTS = 8
+BITMAP_BITS = 26
 SMALL_GROUP = 16
 TASK_BYTES = 24 << 20
 
@@ -208,42 +209,80 @@ def _pair_batch(pairs: np.ndarray) -> dict[str, pa.Array]:
     return {"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())}
 
 
-def segments(docs: DataFrame, names: DataFrame, width: int, rank, fragment) -> DataFrame:
-    """(name, fragment, n, part): the shingles of the wanted classes, one row per fragment."""
-    shared = docs.sparkSession.sparkContext.broadcast((rank, fragment))
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """Packed bits, 8 MB whatever the input: the places that the hashes of ``ids`` (doc_id) fall on."""
+    keys = ids.select(F.xxhash64("doc_id").alias("key"))
+    width = 1 << (BITMAP_BITS - 8)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, fragment = shared.value
-        for s in textual.slices(batches):
-            text, value, sizes, name = shingle_sets(s.column("text"), width)
-            part = fragment[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-            value = in_order(value, rank).view(np.int64)
-            key = text * FRAGMENTS + part
-            order = np.argsort(key, kind="stable")
-            ends = np.cumsum(np.bincount(key, minlength=s.num_rows * FRAGMENTS))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(value[order]))
-            of = np.repeat(np.arange(s.num_rows), FRAGMENTS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name[of]), pa.array(np.tile(np.arange(FRAGMENTS, dtype=np.int32), s.num_rows)), pa.array(sizes[of], pa.int64()), lists],
-                ["name", "fragment", "n", "part"],
-            )
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = np.unique(_cell_of(batch.column("key").to_numpy()))
+            part = cell // width
+            for k in np.unique(part):
+                bits = np.zeros(width, dtype=bool)
+                bits[cell[part == k] % width] = True
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["part", "bits"])
+
+    def join(table: pa.Table) -> pa.Table:
+        bits = np.zeros(width // 8, dtype=np.uint8)
+        for piece in table.column("bits").to_pylist():
+            bits |= np.frombuffer(piece, dtype=np.uint8)
+        return pa.table({"part": table.column("part")[:1], "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    out = np.zeros((256, width // 8), dtype=np.uint8)
+    marked = keys.coalesce(64).mapInArrow(mark, "part int, bits binary")
+    for row in marked.groupBy("part").applyInArrow(join, "part int, bits binary").collect():  # 256 rows at most
+        out[row.part] = np.frombuffer(bytes(row.bits), dtype=np.uint8)
+    return out.ravel()
 
-    chosen = docs.select("doc_id", "text").join(names.select("doc_id").distinct(), "doc_id", "left_semi")
-    return chosen.select("text").mapInArrow(run, "name bigint, fragment int, n bigint, part array<bigint>")
+
+def _cell_of(key: np.ndarray) -> np.ndarray:
+    return (textual.mix(key.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def segments(docs: DataFrame, bitmap: np.ndarray, width: int, rank, fragment) -> DataFrame:
+    """(name, fragment, n, part): the shingles of the documents in ``bitmap``, one row per fragment.
+
+    The bitmap saves moving texts; the few documents that only share a place with a
+    wanted one are harmless.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((rank, fragment, bitmap))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank, fragment, bitmap = shared.value
+        for batch in batches:
+            cell = _cell_of(batch.column("key").to_numpy())
+            wanted = batch.filter(pa.array((bitmap[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1))
+            for s in textual.slices(iter([wanted])):
+                text, value, sizes, name = shingle_sets(s.column("text"), width)
+                part = fragment[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+                value = in_order(value, rank).view(np.int64)
+                key = text * FRAGMENTS + part
+                order = np.argsort(key, kind="stable")
+                ends = np.cumsum(np.bincount(key, minlength=s.num_rows * FRAGMENTS))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(value[order]))
+                of = np.repeat(np.arange(s.num_rows), FRAGMENTS)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name[of]), pa.array(np.tile(np.arange(FRAGMENTS, dtype=np.int32), s.num_rows)), pa.array(sizes[of], pa.int64()), lists],
+                    ["name", "fragment", "n", "part"],
+                )
+
+    return docs.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "name bigint, fragment int, n bigint, part array<bigint>")
 
 
 def verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (x, y) that reach the threshold: partial overlaps by fragment, summed per pair."""
-    one = parts.groupBy("name", "fragment").agg(F.first("n").alias("n"), F.first("part").alias("part"))
-    one = materialize(one, "segments")
-    mine = one.select(F.col("name").alias("x"), "fragment", F.col("n").alias("nx"), F.col("part").alias("px"))
-    theirs = one.select(F.col("name").alias("y"), "fragment", F.col("n").alias("ny"), F.col("part").alias("py"))
+    cut = pairs.select("x", "y", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
+    mine = parts.select(F.col("name").alias("x"), "fragment", F.col("n").alias("nx"), F.col("part").alias("px"))
+    theirs = parts.select(F.col("name").alias("y"), "fragment", F.col("n").alias("ny"), F.col("part").alias("py"))
     partial = (
-        pairs.join(theirs, "y").join(mine, ["x", "fragment"])
-        .select("x", "y", "nx", "ny", F.size(F.array_intersect("px", "py")).cast("bigint").alias("common"))
+        cut.join(theirs, ["y", "fragment"]).join(mine, ["x", "fragment"])
+        .select("x", "y", "fragment", "nx", "ny", F.size(F.array_intersect("px", "py")).cast("bigint").alias("common"))
     )
+    # Copies of a class give the same partial overlap again.
+    once = partial.groupBy("x", "y", "nx", "ny", "fragment").agg(F.max("common").alias("common"))
     return (
-        partial.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
+        once.groupBy("x", "y", "nx", "ny").agg(F.sum("common").alias("common"))
         .where(F.col("common") * den >= (F.col("nx") + F.col("ny") - F.col("common")) * num)
         .select("x", "y")
     )
@@ -275,7 +314,10 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     found = materialize(dealt.applyInArrow(first_round, "x bigint, y bigint, at bigint, name bigint, place int, n int"), "candidates")
     first = materialize(found.where("x is not null").select("x", "y").distinct(), "first-pairs")
     names = first.select(F.explode(F.array("x", "y")).alias("name")).union(found.where("x is null").select("name")).distinct()
-    parts = materialize(segments(docs, names.join(classes, "name"), width, rank, fragment), "fragments")
+    parts = segments(docs, id_bitmap(names.join(classes, "name").select("doc_id")), width, rank, fragment)
+    if not rows.where("n > 0").groupBy("name", "doc_id").count().where("count > 1").isEmpty():
+        parts = parts.dropDuplicates(["name", "fragment"])  # whole rows repeat
+    parts = materialize(parts, "fragments")
     links = materialize(verified(first, parts, num, den), "first-links")
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
