@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -83,3 +84,18 @@ def test_run_equals_its_stages_and_tokens(spark, folder):
 
 def test_one_query_per_operator():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_no_banned_calls():
+    root = Path(corpus_pipeline.__file__).parent
+    for path in [*root.glob("tristrata/llm/*.py"), root / "corpus_pipeline.py"]:
+        text = path.read_text(encoding="utf-8")
+        for banned in ("localCheckpoint", "crossJoin", ".rdd", "toPandas", "ImportError", ".cache(", ".persist("):
+            assert banned not in text, (path, banned)
+
+
+def test_native_operators_run_no_python():
+    root = Path(corpus_pipeline.__file__).parent
+    for name in ("urls", "linededup"):
+        text = (root / f"tristrata/llm/{name}.py").read_text(encoding="utf-8")
+        assert not re.search(r"mapIn|applyIn|udf|numpy|pyarrow|collect\(\)|toLocal", text), name

@@ -29,13 +29,18 @@ def _shifted(values: Column, first: Column) -> Column:
     return F.concat(F.array(first), F.slice(values, 1, F.greatest(F.size(values) - 1, F.lit(0))))
 
 
+def _is_long(line: Column) -> Column:
+    """LONG_LINE words need as many letters and a space between each two."""
+    return (F.length(line) >= 2 * LONG_LINE - 1) & (F.regexp_count(line, F.lit(WORD)) >= LONG_LINE)
+
+
 def with_chunks(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with ``print``, a hash of the text, and its tagged ``chunks``; null texts have none."""
     lines = docs.withColumn("lines", F.split("text", "\n", -1))
     hashed = lines.select(
         "*",
         F.transform("lines", lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("hashes"),
-        F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD)) >= LONG_LINE).alias("long"),
+        F.transform("lines", _is_long).alias("long"),
     )
     ended = hashed.select(
         "*", F.zip_with("hashes", _shifted(F.col("hashes"), F.lit(0).cast("bigint")), lambda a, b: (b * BASE + a) % DIVISOR == 0).alias("ends")
@@ -53,26 +58,24 @@ def plain(chunk: Column) -> Column:
 
 
 def repeated_chunks(chunked: DataFrame) -> DataFrame:
-    """(digest, first, lines, words) of chunks that occur more than once, equal byte by byte.
+    """(digest, lines, words) of chunks that occur more than once, equal byte by byte.
 
     Grouping by the chunk itself compares bytes. A digest shared by different chunks is
     left out: none of them is removed.
     """
-    occurrences = chunked.select("doc_id", "print", F.posexplode("chunks").alias("idx", "chunk"))
-    texts = (
-        occurrences.groupBy(F.md5(F.col("chunk").cast("binary")).alias("digest"), "chunk")
-        .agg(F.min(F.struct("doc_id", "print", "idx")).alias("first"), F.count(F.lit(1)).alias("times"))
-        .select(
-            "digest", "first", "times",
-            F.regexp_count("chunk", F.lit(r"(^|\n)[BC](?=[^\n]*[^\x20\x09-\x0D])")).alias("lines"),
-            F.regexp_count(plain(F.col("chunk")), F.lit(WORD)).alias("words"),
-        )
+    occurrences = chunked.select(F.explode("chunks").alias("chunk"))
+    texts = occurrences.groupBy(F.md5(F.col("chunk").cast("binary")).alias("digest"), "chunk").agg(F.count(F.lit(1)).alias("times"))
+    counted = lambda c, pattern: F.when(F.col("times") > 1, F.regexp_count(c, F.lit(pattern)))
+    narrow = texts.select(
+        "digest", "times",
+        counted(F.col("chunk"), r"(^|\n)[BC](?=[^\n]*[^\x20\x09-\x0D])").alias("lines"),
+        counted(plain(F.col("chunk")), WORD).alias("words"),
     )
     return (
-        texts.groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("texts"), F.max("times").alias("times"), F.min("first").alias("first"), F.max("lines").alias("lines"), F.max("words").alias("words"))
+        narrow.groupBy("digest")
+        .agg(F.count(F.lit(1)).alias("texts"), F.max("times").alias("times"), F.max("lines").alias("lines"), F.max("words").alias("words"))
         .where("texts = 1 and times > 1")
-        .drop("texts", "times")
+        .select("digest", "lines", "words")
     )
 
 
@@ -80,8 +83,10 @@ def removals(chunked: DataFrame) -> DataFrame:
     """(doc_id, print, gone): places of the chunks that each document loses."""
     places = chunked.select("doc_id", "print", F.posexplode(F.transform("chunks", lambda c: F.md5(c.cast("binary")))).alias("idx", "digest"))
     again = materialize(repeated_chunks(chunked), "repeated-chunks")
+    found = materialize(places.join(again, "digest"), "repeated-places")
+    first = found.groupBy("digest").agg(F.min(F.struct("doc_id", "print", "idx")).alias("first"))
     mine = F.struct("doc_id", "print", "idx")
-    found = places.join(again, "digest").where(~mine.eqNullSafe(F.col("first"))).select("doc_id", "print", "idx", "lines", "words").distinct()
+    found = found.join(first, "digest").where(~mine.eqNullSafe(F.col("first"))).select("doc_id", "print", "idx", "lines", "words").distinct()
     order = Window.partitionBy("doc_id", "print").orderBy("idx")
     passage = Window.partitionBy("doc_id", "print", "run")
     return (
