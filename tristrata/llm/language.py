@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import materialize
 from . import learning, textual
 
 WINDOW = 1024
@@ -102,7 +103,7 @@ class Parser:
             tables.append(table.astype(np.int32 if (base + len(steps)) * width < 2**31 else np.int64))
             self.start.append(base * width)
             base += len(steps)
-        self.table = np.concatenate(tables).ravel()
+        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int32)
 
     def phrases(self, stream: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Phrases of each text by language: the cuts, and one for what is left at the end of a window."""
@@ -170,6 +171,8 @@ def train(docs: DataFrame, keep, docs_each: int = SAMPLE_DOCS, bytes_each: int =
         .where(F.col("rank") <= docs_each)
         .select("doc_id", "lang", "rank")
     )
+    # Written, so that the planner sees how few they are and does not move texts.
+    ids = materialize(ids, "language-samples")
     sample = known.join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text"))
 
     def fit(table: pa.Table) -> dict[str, bytes]:
