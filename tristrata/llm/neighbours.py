@@ -254,8 +254,15 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
                                 [pa.array(np.full(len(top), number[i])), pa.array(who[top]), pa.array(value[top])], ["query_id", "vec_id", "score"]
                             )
 
-    # Every block of queries meets every shard of its length: the stated query set against all rows.
-    met = asked.join(index, "dim").select("dim", "shard", "queries", "asked", "vectors", "ids", "counts", "graph", "starts")
+    # Every block of queries meets every shard: the stated query set against all rows. Both
+    # sides are dealt by shard to a fixed number of tasks; searching outweighs their bytes.
+    parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = index.agg(F.coalesce(F.max("shard"), F.lit(0))).first()[0]
+    met = (
+        asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last)))).repartition(parts, "dim", "shard")
+        .join(index.repartition(parts, "dim", "shard").hint("merge"), ["dim", "shard"])
+        .select("dim", "shard", "queries", "asked", "vectors", "ids", "counts", "graph", "starts")
+    )
     found = met.mapInArrow(walk, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
