@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Count and order-free digest of distinct edges."""
+    h = F.xxhash64("a", "b")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 31)))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable from each node of ``edges`` (a, b).
 
@@ -16,6 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     before they are shuffled, and a node's neighbours are never gathered in one row.
     """
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    print_now = _print(now)
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
@@ -27,8 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         after = materialize(small.union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "small-star")
         # A forest of stars does not change any more.
-        changed = after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty()
-        now = after
-        if changed:
+        print_after = _print(after)
+        unchanged = print_after == print_now
+        now, print_now = after, print_after
+        if unchanged:
             roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -16,7 +16,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +26,14 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 from . import textual
 from .components import components
+from .katz import pack, unpack
 
 CELL_BITS = 20
 CELLS = 1 << CELL_BITS
 PARTS = 256
 FRAGMENTS = 8
 BITMAP_BITS = 26
-SMALL_GROUP = 16
+SMALL_GROUP = 3
 TASK_BYTES = 24 << 20
 
 _LOW = np.uint64((1 << (64 - CELL_BITS)) - 1)
@@ -66,7 +67,7 @@ def set_table(docs: DataFrame, width: int) -> DataFrame:
             none = pa.nulls(s.num_rows, pa.int32()), pa.nulls(s.num_rows, pa.binary())
             yield pa.RecordBatch.from_arrays([s.column("doc_id"), s.column("print"), pa.array(sizes, pa.int64()), pa.array(name), *none], names)
         if doc_type is not None:
-            pieces = [c.tobytes() for c in counts.reshape(PARTS, -1)]
+            pieces = [pack(c) for c in counts.reshape(PARTS, -1)]
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(PARTS, doc_type), *[pa.nulls(PARTS, pa.int64())] * 3, pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
             )
@@ -81,7 +82,7 @@ def global_order(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(CELLS // PARTS, dtype=np.int64)
         for piece in table.column("counts").to_pylist():
-            total += np.frombuffer(piece, dtype=np.uint32)
+            total += unpack(piece)
         return pa.table({"part": table.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
     counts = np.zeros((PARTS, CELLS // PARTS), dtype=np.int64)
@@ -154,12 +155,12 @@ def may_reach(n1, p1, n2, p2, num: int, den: int) -> np.ndarray:
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+    out = np.stack([a, b], axis=1)
     return np.unique(out, axis=0) if len(out) else out
 
 
 def pair_bucket(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """First candidate pairs of a bucket, and the entries of the large groups."""
+    """First candidate pairs of a bucket, leader first, and the entries of the large groups."""
     e = np.concatenate([np.frombuffer(x, dtype=ENTRY) for x in table.column("entries").to_pylist()])
     e = e[np.lexsort((e["n"], e["name"], e["place"], e["at"]))]
     same = np.concatenate([[False], (e["at"][1:] == e["at"][:-1]) & (e["name"][1:] == e["name"][:-1])])
@@ -202,16 +203,16 @@ def cross_pairs(n: np.ndarray, place: np.ndarray, name: np.ndarray, root: np.nda
             rows = mine[at : at + step]
             i, j = np.nonzero(root[rows][:, None] != root[theirs][None, :])
             if len(i):
-                yield _pairs(name[rows[i]], name[theirs[j]])
+                a, b = name[rows[i]], name[theirs[j]]
+                yield _pairs(np.minimum(a, b), np.maximum(a, b))
 
 
 def _pair_batch(pairs: np.ndarray) -> dict[str, pa.Array]:
     return {"x": pa.array(pairs[:, 0], pa.int64()), "y": pa.array(pairs[:, 1], pa.int64())}
 
 
-def id_bitmap(ids: DataFrame) -> np.ndarray:
-    """Packed bits, 8 MB whatever the input: the places that the hashes of ``ids`` (doc_id) fall on."""
-    keys = ids.select(F.xxhash64("doc_id").alias("key"))
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Packed bits, 8 MB whatever the input: the places that ``keys`` (one bigint ``key``) fall on."""
     width = 1 << (BITMAP_BITS - 8)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,19 +241,23 @@ def _cell_of(key: np.ndarray) -> np.ndarray:
     return (textual.mix(key.view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
-def segments(docs: DataFrame, bitmap: np.ndarray, width: int, rank, fragment) -> DataFrame:
-    """(name, fragment, n, part): the shingles of the documents in ``bitmap``, one row per fragment.
+def _marked(bits: np.ndarray, key: np.ndarray) -> pa.Array:
+    cell = _cell_of(key)
+    return pa.array((bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
+
+
+def segments(docs: DataFrame, bits: np.ndarray, width: int, rank, fragment) -> DataFrame:
+    """(name, fragment, n, part): the shingles of the documents marked in ``bits``, one row per fragment.
 
     The bitmap saves moving texts; the few documents that only share a place with a
     wanted one are harmless.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((rank, fragment, bitmap))
+    shared = docs.sparkSession.sparkContext.broadcast((rank, fragment, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, fragment, bitmap = shared.value
+        rank, fragment, bits = shared.value
         for batch in batches:
-            cell = _cell_of(batch.column("key").to_numpy())
-            wanted = batch.filter(pa.array((bitmap[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1))
+            wanted = batch.filter(_marked(bits, batch.column("key").to_numpy()))
             for s in textual.slices(iter([wanted])):
                 text, value, sizes, name = shingle_sets(s.column("text"), width)
                 part = fragment[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
@@ -270,11 +275,15 @@ def segments(docs: DataFrame, bitmap: np.ndarray, width: int, rank, fragment) ->
     return docs.select("text", F.xxhash64("doc_id").alias("key")).mapInArrow(run, "name bigint, fragment int, n bigint, part array<bigint>")
 
 
-def verified(pairs: DataFrame, parts: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (x, y) that reach the threshold: partial overlaps by fragment, summed per pair."""
+def verified(pairs: DataFrame, parts_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
+    """Pairs (x, y) that reach the threshold: partial overlaps by fragment, summed per pair.
+
+    ``parts_of`` gives the segments of some classes (name). They are cut anew from the
+    texts each time: reading again is cheaper than keeping sets on disk.
+    """
     cut = pairs.select("x", "y", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("fragment"))
-    mine = parts.select(F.col("name").alias("x"), "fragment", F.col("n").alias("nx"), F.col("part").alias("px"))
-    theirs = parts.select(F.col("name").alias("y"), "fragment", F.col("n").alias("ny"), F.col("part").alias("py"))
+    mine = parts_of(pairs.select(F.col("x").alias("name"))).select(F.col("name").alias("x"), "fragment", F.col("n").alias("nx"), F.col("part").alias("px"))
+    theirs = parts_of(pairs.select(F.col("y").alias("name"))).select(F.col("name").alias("y"), "fragment", F.col("n").alias("ny"), F.col("part").alias("py"))
     partial = (
         cut.join(theirs, ["y", "fragment"]).join(mine, ["x", "fragment"])
         .select("x", "y", "fragment", "nx", "ny", F.size(F.array_intersect("px", "py")).cast("bigint").alias("common"))
@@ -313,12 +322,14 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     dealt = prefix_entries(docs, width, num, den, rank, buckets).groupBy("bucket")
     found = materialize(dealt.applyInArrow(first_round, "x bigint, y bigint, at bigint, name bigint, place int, n int"), "candidates")
     first = materialize(found.where("x is not null").select("x", "y").distinct(), "first-pairs")
-    names = first.select(F.explode(F.array("x", "y")).alias("name")).union(found.where("x is null").select("name")).distinct()
-    parts = segments(docs, id_bitmap(names.join(classes, "name").select("doc_id")), width, rank, fragment)
-    if not rows.where("n > 0").groupBy("name", "doc_id").count().where("count > 1").isEmpty():
-        parts = parts.dropDuplicates(["name", "fragment"])  # whole rows repeat
-    parts = materialize(parts, "fragments")
-    links = materialize(verified(first, parts, num, den), "first-links")
+    repeated = not rows.where("n > 0").groupBy("name", "doc_id").count().where("count > 1").isEmpty()
+
+    def parts_of(names: DataFrame) -> DataFrame:
+        ids = names.distinct().join(classes, "name").select(F.xxhash64("doc_id").alias("key"))
+        parts = segments(docs, bitmap(ids), width, rank, fragment)
+        return parts.dropDuplicates(["name", "fragment"]) if repeated else parts
+
+    links = materialize(verified(first, parts_of, num, den), "first-links")
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
     def second_round(table: pa.Table) -> pa.Table:
@@ -332,7 +343,7 @@ def link(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> Data
     mixed = big.groupBy("at").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("at")
     more = big.join(mixed, "at", "left_semi").groupBy("at").applyInArrow(second_round, "x bigint, y bigint").distinct()
     more = materialize(more.join(first, ["x", "y"], "left_anti"), "second-pairs")
-    links = links.union(verified(more, parts, num, den))
+    links = materialize(links.union(verified(more, parts_of, num, den)), "links")
     roots = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     placed = classes.join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "doc_id", F.coalesce("root", "name").alias("root"))
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
