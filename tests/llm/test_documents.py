@@ -121,6 +121,74 @@ def test_line_dedup_odd_rows(odd, none, docs_of):
     assert [(r.doc_id, r.n_chars == len(r.text)) for r in left] == [(1, True), (3, True), (4, True)] and left[1].text.endswith("new")
 
 
+def plain_runs(rows):
+    """Places of all lines in a run of lines of 50 words that stands earlier, compared line by line."""
+    count = lambda x: len(re.findall("[^\x20\x09-\x0d]+", x))
+    docs = [(d, t.split("\n")) for d, t in sorted(set(r for r in rows if r[1] is not None), key=lambda r: (r[0], _PRINTS[r[1]]))]
+    words = [[count(x) for x in lines] for _, lines in docs]
+    where = collections.defaultdict(list)
+    for d, (_, lines) in enumerate(docs):
+        for i, x in enumerate(lines):
+            where[x].append((d, i))
+    gone = collections.defaultdict(set)
+    for d, (_, lines) in enumerate(docs):
+        for i in range(len(lines)):
+            for e, k in where[lines[i]]:
+                if (e, k) >= (d, i) or not words[d][i]:
+                    continue
+                n = 0
+                while i + n < len(lines) and k + n < len(docs[e][1]) and (e < d or k + n < i) and lines[i + n] == docs[e][1][k + n]:
+                    n += 1
+                while not words[d][i + n - 1]:
+                    n -= 1
+                if sum(words[d][i : i + n]) >= 50:
+                    gone[docs[d][0], "\n".join(lines)].update(range(i, i + n))
+    return gone
+
+
+def test_repeated_runs_go_whatever_the_chunks(docs_of, prose):
+    rng = random.Random(7)
+    sizes = [(2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (8, 7), (55, 1), (2, 24), (3, 40)]
+    passages = [[prose("en", n, f"run{i}/{k}") for k in range(m)] for i, (m, n) in enumerate(sizes)]
+    passages[1].insert(1, "")
+    passages[4][3:3] = [" ", ""]
+    rows = []
+    for i in range(90):
+        lines = [prose("en", rng.randint(0, 12), f"own {i}/{k}") for k in range(rng.randint(0, 5))]
+        for p in rng.sample(passages, rng.randint(0, 2)):
+            at, part = rng.randint(0, len(lines)), p[rng.randint(0, 1) :][: rng.choice([99, 99, 4])]
+            lines[at:at] = part
+        rows.append((i, "\n".join(lines)))
+    rows += [(200, "\n".join(["ten words in a line that comes again and again"] * 23)), (201, "\n".join(["word " * 60, "tail of a few words"])), (202, "x\n" + "\n".join(["word " * 60, "tail of a few words"]))]
+    rows += [rows[5], (300, "\n" * 300 + rows[6][1]), (301, None), (302, "")]
+    docs = docs_of(rows)
+    _PRINTS.update({r.text: r.p for r in docs.select("text", F.xxhash64("text").alias("p")).collect()})
+    runs, chunks = plain_runs(rows), collections.Counter((r.doc_id, r.n_removed) for r in linededup.dedup(docs).collect())
+    found = {}
+    for r in linededup.repeated_runs(docs.select("doc_id", "text")).collect():
+        found[r.doc_id] = {k for x in r.runs for k in range(x.at, x.at + x.size)}
+    count = lambda x: len(re.findall("[^\x20\x09-\x0d]+", x))
+    wide = lambda gone: {d: {k for k in g if 0 < count(t.split("\n")[k]) < 50} for (d, t), g in gone.items()}
+    short = {d: {k for k in g if 0 < count(dict(rows)[d].split("\n")[k]) < 50} for d, g in found.items()}
+    assert {d: g for d, g in short.items() if g} == {d: g for d, g in wide(runs).items() if g} and len(runs) > 20
+    got = {r.doc_id: r for r in linededup.dedup(docs, runs=True).collect()}
+    for (d, t), gone in runs.items():
+        lines = t.split("\n")
+        assert got[d].n_removed >= len(gone) and got[d].n_removed == len(lines) - (got[d].text.count("\n") + 1 if got[d].text or len(lines) > got[d].n_removed else 0)
+        assert not any(lines[k] in got[d].text.split("\n") for k in gone if count(lines[k]) > 2 and lines.count(lines[k]) == 1)
+    assert sum(r.n_removed for r in got.values()) > sum(n * times for (_, n), times in chunks.items())
+    assert got[200].n_removed < 23 and got[301].text is None
+
+
+def test_two_lines_of_thirty_words_go_from_the_later_document(docs_of, prose):
+    rows = []
+    for i in range(40):
+        passage = [prose("fr", 30, f"pair{i}{k}") for k in "ab"]
+        rows += [(10 * i + j, "\n".join([prose("en", 9, f"{i}{j}<"), *passage, prose("en", 9, f"{i}{j}>")])) for j in (1, 2)]
+    left = {r.doc_id: r.text for r in linededup.strip(docs_of(rows)).collect()}
+    assert all(left[d].count("\n") == (3 if d % 10 == 1 else 1) for d, _ in rows)
+
+
 # Decontamination
 
 

@@ -7,6 +7,11 @@ first (least doc_id, then place) is repeated. Neighbouring repeated chunks of a
 form a passage; it is removed if it has two lines and LEAST_WORDS words, or LONG_LINE
 words.
 
+Chunk borders can cut a passage where it meets foreign lines. With ``runs``, the exact step
+``repeated_runs`` also removes every run of lines of LONG_LINE words that stands earlier as
+it is, whatever its borders: each line opens and closes one shortest run of that many words,
+and the repeated shortest runs cover exactly the lines of all repeated longer ones.
+
 Inside, every line carries a tag: B where a chunk begins, C elsewhere. A line break is
 always followed by a tag, so chunks can be split and joined as strings.
 """
@@ -99,17 +104,137 @@ def removals(chunked: DataFrame) -> DataFrame:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often its inner functions ask for it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _shortest_runs(text: Column) -> Column:
+    """(at, size, key) of the shortest runs of LONG_LINE words from and up to each line with words.
+
+    Places and sizes count all lines; key is a hash. A line of LONG_LINE words has no run
+    of its own: it is a chunk already.
+    """
+
+    def long_enough(part: Column) -> Column:
+        """Lines of ``part`` up to LONG_LINE words, 0 if one is enough or all are not."""
+        none = F.struct(F.lit(0).alias("words"), F.lit(0).alias("n"))
+        more = lambda a, s: F.when(a.words >= LONG_LINE, a).otherwise(F.struct((a.words + s.words).alias("words"), (a.n + 1).alias("n")))
+        return F.aggregate(part, none, more, lambda a: F.when((a.words >= LONG_LINE) & (a.n > 1), a.n).otherwise(0))
+
+    def runs(lines: Column) -> Column:
+        # Every line here has a word, so LONG_LINE of them are always enough. A run is first line * 64 + lines.
+        ahead = F.transform(lines, lambda s, j: _let(long_enough(F.slice(lines, j + 1, LONG_LINE)), lambda n: F.when(n > 0, j.cast("bigint") * 64 + n)))
+        start = lambda j: F.greatest(j - (LONG_LINE - 2), F.lit(1))
+        behind = F.transform(
+            lines,
+            lambda s, j: _let(
+                long_enough(F.reverse(F.slice(lines, start(j), j + 2 - start(j)))), lambda n: F.when(n > 0, (j - n + 1).cast("bigint") * 64 + n)
+            ),
+        )
+        found = F.filter(F.array_union(ahead, behind), lambda c: c.isNotNull())
+        part = lambda c: F.slice(lines, F.floor(c / 64).cast("int") + 1, (c % 64).cast("int"))
+        size = lambda p: F.element_at(p, -1).at - F.element_at(p, 1).at + 1
+        return F.transform(
+            found,
+            lambda c: _let(
+                part(c),
+                lambda p: F.struct(F.element_at(p, 1).at.alias("at"), size(p).alias("size"), F.xxhash64(F.transform(p, lambda s: s.hash), size(p)).alias("key")),
+            ),
+        )
+
+    lines = F.transform(
+        F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), F.regexp_count(x, F.lit(WORD)).alias("words"), F.xxhash64(x).alias("hash"))
+    )
+    return _let(F.filter(lines, lambda s: s.words > 0), runs)
+
+
+def repeated_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, print, runs): places and sizes of the shortest runs of lines that stand earlier in ``docs`` (doc_id, text).
+
+    A hash only proposes runs; their bytes decide. A run is repeated if its first
+    occurrence (least doc_id, then place) ends before it, so overlapping copies of a line
+    leave one whole. A digest shared by different runs is left out.
+    """
+    seen = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("print"), F.explode(_shortest_runs(F.col("text"))).alias("r"))
+    seen = materialize(seen.select("doc_id", "print", "r.*"), "line-runs")
+    again = seen.groupBy("key").count().where("count > 1").select("key")
+    asked = (
+        seen.join(again, "key", "left_semi").groupBy("doc_id", "print").agg(F.collect_set(F.struct("at", "size")).alias("asked"))
+        .withColumnsRenamed({"doc_id": "of", "print": "of_print"})
+    )
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("print")).dropDuplicates(["doc_id", "print"])
+    cut = (
+        texts.join(asked, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("print") == F.col("of_print")))
+        .select(
+            "doc_id", "print",
+            F.explode(
+                _let(
+                    F.split("text", "\n", -1),
+                    lambda lines: F.transform("asked", lambda r: F.struct(r.at.alias("at"), r.size.alias("size"), F.array_join(F.slice(lines, r.at + 1, r.size), "\n").alias("run"))),
+                )
+            ).alias("r"),
+        )
+        .select("doc_id", "print", "r.*", F.md5(F.col("r.run").cast("binary")).alias("digest"))
+    )
+    cut = materialize(cut, "run-texts")
+    place = F.struct("doc_id", "print", "at")
+    first = (
+        cut.groupBy("digest", "run").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+        .groupBy("digest").agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"), F.max("times").alias("times"))
+        .where("texts = 1 and times > 1").select("digest", "first")
+    )
+    elsewhere = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("print") == F.col("first.print")))
+    return (
+        cut.select("doc_id", "print", "at", "size", "digest").join(first, "digest")
+        .where(elsewhere | (F.col("at") >= F.col("first.at") + F.col("size")))
+        .groupBy("doc_id", "print").agg(F.collect_list(F.struct("at", "size")).alias("runs"))
+    )
+
+
+def _without(gone: Column, runs: Column, chunks: Column, text: Column) -> Column:
+    """The lines of ``text`` outside the chunks ``gone`` and outside ``runs``."""
+    doomed = F.flatten(F.transform(chunks, lambda c, i: F.array_repeat(F.array_contains(gone, i), _breaks(c))))
+    by_chunk = F.filter(F.transform(doomed, lambda d, i: F.when(d, i)), lambda i: i.isNotNull())
+    by_run = F.flatten(F.transform(runs, lambda r: F.sequence(r.at, r.at + r.size - 1)))
+    left = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.concat(by_chunk, by_run))
+    return _let(F.split(text, "\n", -1), lambda lines: F.transform(left(lines), lambda i: F.get(lines, i)))
+
+
+def _stripped_of_runs(docs: DataFrame) -> DataFrame:
+    """(row, gone, text, n_lost): as ``_stripped``, the lines of ``repeated_runs`` gone as well."""
+    found = docs.select("doc_id", "text")
+    chunks, runs = removals(with_chunks(found)), repeated_runs(found)
+    keys = (
+        chunks.select("doc_id", "print", "gone", F.lit(None).cast(runs.schema["runs"].dataType).alias("runs"))
+        .unionByName(runs.select("doc_id", "print", F.lit(None).cast(chunks.schema["gone"].dataType).alias("gone"), "runs"))
+        .groupBy(F.col("doc_id").alias("of"), F.col("print").alias("of_print"))
+        .agg(F.flatten(F.collect_list("gone")).alias("gone"), F.flatten(F.collect_list("runs")).alias("runs"))
+    )
+    rows = docs.select(F.struct("*").alias("row")).withColumn("row_print", F.xxhash64("row.text"))
+    joined = rows.join(keys, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("row_print") == F.col("of_print")), "left")
+    cut = with_chunks(joined.select(F.struct("row", "gone", "runs").alias("doc_id"), F.when(F.col("gone").isNotNull(), F.col("row.text")).alias("text")))
+    kept = cut.select("doc_id.row", "doc_id.gone", _without(F.col("doc_id.gone"), F.col("doc_id.runs"), F.col("chunks"), F.col("text")).alias("kept"))
+    return kept.select(
+        "row", "gone",
+        F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join("kept", "\n")).alias("text"),
+        F.when(F.col("gone").isNull(), 0).otherwise(_breaks(F.col("row.text")) - F.size("kept")).alias("n_lost"),
+    )
+
+
 def _stripped(docs: DataFrame) -> DataFrame:
-    """(row, gone, text, chunks): the rows as they are, what they lose, and chunks of those that lose some."""
+    """(row, gone, text, n_lost): the rows as they are, what they lose, what is left and how many lines go."""
     gone = removals(with_chunks(docs.select("doc_id", "text")))
     keys = gone.withColumnsRenamed({"doc_id": "of", "print": "of_print"})
     rows = docs.select(F.struct("*").alias("row")).withColumn("row_print", F.xxhash64("row.text"))
     joined = rows.join(keys, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("row_print") == F.col("of_print")), "left")
     cut = with_chunks(joined.select(F.struct("row", "gone").alias("doc_id"), F.when(F.col("gone").isNotNull(), F.col("row.text")).alias("text")))
     kept = F.filter("chunks", lambda c, i: ~F.array_contains("gone", i))
+    lost = F.aggregate(F.filter("chunks", lambda c, i: F.array_contains("gone", i)), F.lit(0), lambda a, c: a + _breaks(c))
     return cut.select("doc_id.row", "doc_id.gone", "chunks").select(
-        "row", "gone", "chunks",
+        "row", "gone",
         F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, plain), "\n")).alias("text"),
+        F.when(F.col("gone").isNull(), 0).otherwise(lost).alias("n_lost"),
     )
 
 
@@ -117,27 +242,27 @@ def _breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, runs: bool = False) -> DataFrame:
     """doc_id, text without repeated passages, n_lines and n_removed of every row of ``docs`` (doc_id, text).
 
+    Without ``runs`` only whole chunks go, as in ORACLE; with it all of ``repeated_runs`` too.
     A null text stays null with no lines; an empty text has one empty line. A text that
     loses every line becomes empty. Rows equal in doc_id and text count as one
     occurrence and share their result.
     """
-    lost = F.aggregate(F.filter("chunks", lambda c, i: F.array_contains("gone", i)), F.lit(0), lambda a, c: a + _breaks(c))
-    return _stripped(docs.select("doc_id", "text")).select(
+    return (_stripped_of_runs if runs else _stripped)(docs.select("doc_id", "text")).select(
         "row.doc_id", "text",
         F.coalesce(_breaks(F.col("row.text")), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(lost).cast("bigint").alias("n_removed"),
+        F.col("n_lost").cast("bigint").alias("n_removed"),
     )
 
 
 def strip(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without repeated passages; ``n_chars`` follows the new text.
+    """The rows of ``docs``, all columns, without repeated passages and runs; ``n_chars`` follows the new text.
 
     A document that loses every word is left out: an earlier one holds all it said.
     """
-    left = _stripped(docs).where(F.col("gone").isNull() | F.col("text").rlike(WORD))
+    left = _stripped_of_runs(docs).where(F.col("gone").isNull() | F.col("text").rlike(WORD))
     columns = []
     for c in docs.columns:
         if c == "text":

@@ -108,3 +108,9 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_linededup"] = linededup.ORACLE
+
+
+@register
+def op7_lineruns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7_linededup, with repeated runs of 50 words gone whatever the chunks."""
+    return linededup.dedup(table(spark, sf_dir, "documents"), runs=True)
