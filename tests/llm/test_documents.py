@@ -241,6 +241,14 @@ def test_matches_equal_brute_force(spark, docs_of, prose):
     assert got == expected and len(expected) > 10 and max(got.values()) > 0
 
 
+def test_blocks_of_items_end_by_bytes(spark):
+    items = [(i, f"Item {i}: " + "é word " * (40 * (i % 5))) for i in range(60)] + [(60, "x" * 9000), (1, None), (None, "x")]
+    blocks = list(decontaminate.blocks_of(spark.createDataFrame(items, "item_id bigint, text string").repartition(3), size=12, most=4000))
+    assert all(len(b) <= 12 and (len(b) == 1 or sum(len(t) for _, t in b) <= 4000) for b in blocks)
+    expected = sorted((i, decontaminate.plain(pa.array([t]))[0]) for i, t in items if i is not None and t)
+    assert sorted(x for b in blocks for x in b) == expected and any(len(b) > 2 for b in blocks)
+
+
 def test_decontamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "a" * 500), (2, "word word word word word word word")], "item_id bigint, text string")
     got = decontaminate.match(odd, items).collect()

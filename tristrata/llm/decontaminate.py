@@ -23,7 +23,9 @@ from . import textual
 RATE = 0.08
 #: A shorter item proves nothing as part of a text: it matches only a text equal to it.
 SHORT_ITEM = 24
+#: A block of items ends at so many items or bytes; its index takes some tens of bytes per byte.
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 4 << 20
 
 _SIGN = np.zeros(256, dtype=bool)
 _SIGN[ord("a") : ord("z") + 1] = True
@@ -127,15 +129,27 @@ class Items:
         return out
 
 
-def blocks_of(items: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str]]]:
-    """The test items in blocks of bounded size; rows without id or text are left out."""
+def blocks_of(items: DataFrame, size: int = BLOCK_ITEMS, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
+    """The normalised test items in blocks of at most ``size`` items and ``most`` bytes, one item at least.
+
+    Rows without id or text are left out. Texts are normalised by tasks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in textual.slices(batches):
+            data = [t.encode("latin-1") for t in plain(s.column("text"))]
+            yield pa.RecordBatch.from_arrays([s.column("item_id"), pa.array(data, pa.binary())], ["item_id", "data"])
+
     rows = items.select("item_id", "text").where("item_id is not null and text is not null").dropDuplicates(["item_id", "text"])
+    kind = rows.schema["item_id"].dataType.simpleString()
     held: list[tuple[int, str]] = []
-    for row in rows.toLocalIterator():
-        held.append((row.item_id, plain(pa.array([row.text]))[0]))
-        if len(held) == size:
+    weight = 0
+    for row in rows.mapInArrow(run, f"item_id {kind}, data binary").toLocalIterator():
+        if held and (len(held) == size or weight + len(row.data) > most):
             yield held
-            held = []
+            held, weight = [], 0
+        held.append((row.item_id, bytes(row.data).decode("latin-1")))
+        weight += len(row.data)
     if held:
         yield held
 
@@ -153,7 +167,7 @@ def match(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     schema = f"doc_id {kind}, item_id bigint, distance int, end bigint"
     out = spark.createDataFrame([], schema)
     for block in blocks_of(items):
-        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_ITEMS items
+        shared = spark.sparkContext.broadcast(block)  # at most BLOCK_ITEMS items and BLOCK_BYTES
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Items(shared.value, rate)
