@@ -1,9 +1,9 @@
 """Byte-level BPE by merge replay over a block of texts.
 
-The distinct pieces of a block form one corpus, their symbols laid out in one array. An
-inverted index leads from the rank of a pair of neighbours to its places. Each pass
-applies the lowest pending rank of every piece at all its places, left to right, then
-looks up only the pairs that the merge touched. Nothing is trained here.
+The distinct pieces of a block form one corpus, their symbols laid out in one array, with
+the rank of each pair of neighbours next to it. Each pass scans these ranks, applies the
+lowest of every piece at all its places, left to right, then looks up only the pairs that
+the merge touched. There is no index from ranks to places. Nothing is trained here.
 """
 
 from __future__ import annotations
