@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard, katz, language, linededup, neighbours, quality, toxicity, urls
+from . import bpe, decontaminate, jaccard, katz, language, linededup, neighbours, quality, spelling, suffixes, toxicity, urls, vertical
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,21 @@ ORACLES["op7_linededup"] = linededup.ORACLE
 
 
 @register
-def op7_lineruns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op7_linededup, with repeated runs of 50 words gone whatever the chunks."""
-    return linededup.dedup(table(spark, sf_dir, "documents"), runs=True)
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants: every frequent word with the form it is probably meant to have."""
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+@register
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that stand elsewhere too."""
+    return suffixes.repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@register
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    return vertical.hard_negatives(vertical.scaled(table(spark, sf_dir, "embeddings")))
+
+
+ORACLES["op13_negatives"] = vertical.ORACLE
