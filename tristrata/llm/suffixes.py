@@ -39,7 +39,7 @@ from . import textual
 from .jaccard import _marked, bitmap
 
 LENGTH = 400
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: What a mark for a shard names: a block of suffixes, a core with unproven starts, a repeated string.
 BLOCK, OPEN, START = 0, 1, 2
 
@@ -161,7 +161,7 @@ def sieve_keys(docs: DataFrame, shape: Shape) -> DataFrame:
     """(key) of the cores that stand at two places or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in textual.slices(batches):
+        for s in textual.slices(batches, most=SHARD_BYTES):
             p = Prints(shape, *textual.raw_bytes(s.column("text")))
             key, n = np.unique(core_names(p), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.minimum(n, 2).astype(np.int8))], ["key", "n"])
