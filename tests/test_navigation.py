@@ -8,6 +8,7 @@ from tristrata.operators import lookup as L
 from tristrata.operators import profile as P
 from tristrata.operators import sampling as A
 from tristrata.operators.histograms import value_histogram, value_histogram_auto
+from tristrata.operators import quantiles as Q
 from tristrata.operators.quantiles import exact_quantiles
 from tristrata.operators.timeline import run_summary, stage_seconds
 from tristrata.plans.build import build_catalogue
@@ -44,6 +45,14 @@ def test_rank(catalogue, descending):
     for rank in (1, 2, 9, 17, 40):
         assert keys(A.series_by_rank(catalogue.l2, rank, descending)) == [want[rank - 1]]
     assert keys(A.series_by_rank(catalogue.l2, 41, descending)) == []
+    # Without adaptive stages, which are jobs of their own: one job locates the row, one reads it.
+    spark = catalogue.l2.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.sparkContext.setJobGroup(f"rank {descending}", "rank")
+    A.series_by_rank(catalogue.l2, 7, descending).collect()
+    spark.sparkContext.setJobGroup("", "")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rank {descending}")) <= 3
     with pytest.raises(ValueError):
         A.series_by_rank(catalogue.l2, 0)
 
@@ -130,8 +139,11 @@ def test_histograms_sum_to_points(catalogue):
     assert {r[0]: r[1] for r in auto} == {k: n for k, n in want.items() if n >= 2}
 
 
+@pytest.mark.parametrize("bound", [10_000, 40])
 @pytest.mark.parametrize("kind", ["normal", "ties", "constant", "skewed", "tiny"])
-def test_exact_quantiles(spark, kind):
+def test_exact_quantiles(spark, monkeypatch, kind, bound):
+    """With the small bound intervals are narrowed in several passes."""
+    monkeypatch.setattr(Q, "ROW_BOUND", bound)
     rng = np.random.default_rng(8)
     data = {
         "normal": rng.normal(size=5000), "ties": rng.integers(0, 4, 5000).astype(float), "constant": np.full(300, 2.5),
@@ -140,7 +152,9 @@ def test_exact_quantiles(spark, kind):
     rows = [(("x", "y")[i % 3 == 0], float(v)) for i, v in enumerate(data)] + [("x", None), ("x", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, "v", probs, ["g"]).collect()}
+    found = exact_quantiles(df, "v", probs, ["g"])
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["g"]: r for r in found.collect()}
     for g in {r[0] for r in rows}:
         v = np.array([r[1] for r in rows if r[0] == g and r[1] is not None and r[1] == r[1]])
         if len(v):
@@ -149,14 +163,22 @@ def test_exact_quantiles(spark, kind):
 
 
 def test_quantiles_survive_a_poor_sketch(spark, monkeypatch):
-    from tristrata.operators import quantiles as Q
-
     monkeypatch.setattr(Q, "SKETCH_ACCURACY", 1)
+    monkeypatch.setattr(Q, "ROW_BOUND", 20)
     df = spark.range(3001).select(F.lit("g").alias("g"), (F.col("id") * F.col("id")).cast("double").alias("v")).repartition(6)
     row = exact_quantiles(df, "v", [0.25, 0.5], ["g"]).first()
     assert (row["q0"], row["q1"]) == (750.0**2, 1500.0**2)
 
 
+def test_quantiles_of_infinite_values_and_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(Q, "ROW_BOUND", 5)
+    inf = float("inf")
+    rows = [(g, float(v)) for g in range(30) for v in (*range(g, 40), -inf, inf, 7.0, 7.0)]
+    got = {r["g"]: r for r in exact_quantiles(spark.createDataFrame(rows, "g int, v double"), "v", [0.5], ["g"]).collect()}
+    for g in range(30):
+        assert got[g]["q0"] == np.quantile([v for k, v in rows if k == g and abs(v) < inf] + [-1e9, 1e9], 0.5)
+
+
 def test_numeric_rule_and_stats(spark):
     rows = [(i, float(i), None if i % 2 else 1.0, float(i) if i < 61 else None) for i in range(100)]
     props = spark.createDataFrame(rows, "series_key int, prop__a double, prop__b double, prop__c double")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import is_usable
@@ -94,12 +94,18 @@ def long_properties(props: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return props.selectExpr(*keep, f"inline(array({pairs}))").filter("value is not null")
 
 
-def quartiles(props: DataFrame, groups: Sequence[str] = ("property",)) -> DataFrame:
-    """Exact quartiles per property (and table), written once for several consumers."""
-    keep = [g for g in groups if g != "property"]
-    return materialize(
-        exact_quantiles(long_properties(props, keep), "value", [0.25, 0.5, 0.75], groups), "quartiles"
-    )
+def long_table(props: DataFrame) -> DataFrame:
+    """(property, value), with Domain_table if there is one, written once for every quartile and whisker."""
+    return materialize(long_properties(props, [c for c in ("Domain_table",) if c in props.columns]), "properties-long")
+
+
+def quartiles(props: DataFrame, groups: Sequence[str] = ("property",), long: DataFrame | None = None) -> DataFrame:
+    """Exact quartiles per property (and table), written once for several consumers.
+
+    ``long`` takes the result of :func:`long_table` when it is already at hand.
+    """
+    long = long_table(props) if long is None else long
+    return materialize(exact_quantiles(long, "value", [0.25, 0.5, 0.75], groups), "quartiles")
 
 
 def property_stats(
@@ -124,8 +130,7 @@ def property_stats(
     )
 
 
-def _boxes(props: DataFrame, groups: list[str], quarters: DataFrame) -> DataFrame:
-    long = long_properties(props, [g for g in groups if g != "property"])
+def _boxes(long: DataFrame, groups: list[str], quarters: DataFrame) -> DataFrame:
     reach = (F.col("q2") - F.col("q0")) * 1.5
     inside = long.join(quarters.drop("n"), groups).groupBy(*groups).agg(
         F.min(F.when(F.col("value") >= F.col("q0") - reach, F.col("value"))).alias("low"),
@@ -143,19 +148,55 @@ def _boxes(props: DataFrame, groups: list[str], quarters: DataFrame) -> DataFram
 
 
 def box_stats(
-    props: DataFrame, min_n: int = 50, min_coverage: float = 0.60, quarters: DataFrame | None = None
+    props: DataFrame, min_n: int = 50, min_coverage: float = 0.60, quarters: DataFrame | None = None, long: DataFrame | None = None
 ) -> DataFrame:
     """Quartiles and 1.5·IQR whiskers of each numeric property; outliers are left out."""
     numeric = numeric_properties(props, min_n, min_coverage).select("property")
-    quarters = quartiles(props) if quarters is None else quarters
-    return _boxes(props, ["property"], quarters).join(numeric, "property", "left_semi")
+    long = long_table(props) if long is None else long
+    quarters = quartiles(props, long=long) if quarters is None else quarters
+    return _boxes(long, ["property"], quarters).join(numeric, "property", "left_semi")
 
 
-def box_stats_by_table(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60) -> DataFrame:
+def box_stats_by_table(props: DataFrame, min_n: int = 50, min_coverage: float = 0.60, long: DataFrame | None = None) -> DataFrame:
     """As :func:`box_stats` per domain table, for properties with data there."""
     numeric = numeric_properties(props, min_n, min_coverage).select("property")
     groups = ["Domain_table", "property"]
-    return _boxes(props, groups, quartiles(props, groups)).join(numeric, "property", "left_semi")
+    long = long_table(props) if long is None else long
+    return _boxes(long, groups, quartiles(props, groups, long)).join(numeric, "property", "left_semi")
+
+
+def collapse_dims(
+    df: DataFrame, dims: Sequence[str], k: int = 12, other: str = "Other", empty: str | None = "(empty)"
+) -> DataFrame:
+    """One row per row of ``df`` and dimension: its columns, ``dim``, the collapsed ``label`` and that label's count.
+
+    All dimensions are counted in one pass over (dimension, label) pairs, combined before
+    they move; each dimension's ``k`` most frequent labels (ties by label) come from
+    group-limited ranks, and one join brings them back. Labels as in :func:`collapse_topk`.
+    """
+
+    def text(dim: str) -> Column:
+        value = F.coalesce(F.col(dim).cast("string"), F.lit(""))
+        return value if empty is None else F.when(value == "", empty).otherwise(value)
+
+    pairs = F.inline(F.array(*[F.struct(F.lit(d).alias("dim"), text(d).alias("__label")) for d in dims]))
+    counts = df.select(pairs).groupBy("dim", "__label").agg(F.count("*").alias("__n"))
+    order = Window.partitionBy("dim").orderBy(F.desc("__n"), "__label")
+    # At most k rows per dimension; written, so that the planner sees how small they are.
+    kept = materialize(counts.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= int(k)).drop("__r"), "top-labels")
+    held = kept.groupBy("dim").agg(F.sum("__n").alias("__held"), F.sum(F.when(F.col("__label") == other, F.col("__n"))).alias("__same"))
+    rest = df.agg(F.count("*").alias("__all")).join(held).select(
+        "dim", (F.col("__all") - F.col("__held") + F.coalesce("__same", F.lit(0))).alias("__rest")
+    )
+    # A label that reads like the collapsed one is counted with it.
+    told = kept.join(rest, "dim").select(
+        "dim", "__label", F.when(F.col("__label") == other, F.col("__rest")).otherwise(F.col("__n")).alias("__n")
+    )
+    placed = df.select("*", pairs).join(told, ["dim", "__label"], "left").join(rest, "dim")
+    return placed.select(
+        *df.columns, "dim", F.when(F.col("__n").isNotNull(), F.col("__label")).otherwise(F.lit(other)).alias("label"),
+        F.coalesce("__n", "__rest").alias("label_count"),
+    )
 
 
 def collapse_topk(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import is_usable
 from ..schema import SERIES_DIMS
 from ..shared import materialize
-from .profile import category_counts, collapse_topk
+from .profile import collapse_dims
 from .sampling import sample_rows
 
 AXES = ["Dim 1", "Dim 2"]
@@ -182,15 +182,9 @@ def scatter_table(points: DataFrame, color_dim: str, k: int = 10, other: str = "
     """Points with the collapsed label of one dimension and that label's count."""
     if color_dim not in points.columns:
         raise ValueError(f"unknown dimension '{color_dim}', have {sorted(points.columns)}")
-    labelled = collapse_topk(points, color_dim, k, other, empty)
-    counts = category_counts(labelled).withColumnRenamed("count", "label_count")
-    return labelled.join(counts, "label").withColumn("dim", F.lit(color_dim))
+    return collapse_dims(points, [color_dim], k, other, empty)
 
 
 def scatter_tables(points: DataFrame, k: int = 10) -> DataFrame:
-    """One table per series dimension, stacked."""
-    out = None
-    for dim in SERIES_DIMS:
-        part = scatter_table(points, dim, k)
-        out = part if out is None else out.unionByName(part)
-    return out
+    """One table per series dimension, stacked: the points are counted once for all of them."""
+    return collapse_dims(points, SERIES_DIMS, k, "(other)", None)

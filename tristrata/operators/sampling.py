@@ -42,35 +42,33 @@ def subsample(sample: DataFrame, key: Column, target: int | None, seed: int | st
 def series_by_rank(series: DataFrame, rank: int, descending: bool = True) -> DataFrame:
     """The series at 1-based ``rank`` by number of points, ties in key order.
 
-    No global sort: counts per number of points locate the tie group, counts per key
-    prefix locate the row's neighbourhood, and only that neighbourhood is sorted. Keys
-    are hashes, so neighbourhoods are even. A rank beyond the last series gives no row.
+    No global sort: one aggregate counts series per number of points and key prefix (at
+    most 65 536 prefixes each); running totals over it locate the row's neighbourhood, and
+    one filtered read orders only that. Keys are hashes, so neighbourhoods are even. A rank
+    beyond the last series gives no row.
     """
     if rank < 1:
         raise ValueError(f"rank must be at least 1, got {rank}")
     keyed = series.withColumns({
         "__n": F.coalesce("properties.n_members", F.lit(0)),
         "__key": F.col("identity.series_key"),
-    }).withColumn("__p", F.substring("__key", 8, PREFIX))
+    }).withColumn("__p", F.coalesce(F.substring("__key", 8, PREFIX), F.lit("")))
+    cells = keyed.groupBy("__n", "__p").agg(F.count("*").alias("c"))
+    sizes = cells.groupBy("__n").agg(F.sum("c").alias("all"), F.array_sort(F.collect_list(F.struct("__p", "c"))).alias("cells"))
+    order = F.col("__n").desc() if descending else F.col("__n").asc()
+    upto = F.sum("all").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    left = F.lit(int(rank)) - (F.col("upto") - F.col("all"))
+    hit = sizes.withColumn("upto", upto).where((left >= 1) & (left <= F.col("all")))
+    none = F.struct(left.alias("left"), F.lit(None).cast("string").alias("at"))
 
-    def locate(counts: DataFrame, name: str, order: Column, wanted: Column) -> Column:
-        upto = F.sum("c").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-        placed = counts.withColumn("upto", upto)
-        hit = placed.filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("c") < wanted))
-        return hit.agg(
-            F.first(F.struct(F.col(name).alias("at"), (wanted - F.col("upto") + F.col("c")).alias("left")))
-        ).scalar()
+    def step(a: Column, cell: Column) -> Column:
+        here = F.struct(a.left.alias("left"), cell["__p"].alias("at"))
+        on = F.struct((a.left - cell.c).alias("left"), F.lit(None).cast("string").alias("at"))
+        return F.when(a.at.isNotNull(), a).when(a.left <= cell.c, here).otherwise(on)
 
-    by_points = keyed.groupBy("__n").agg(F.count("*").alias("c"))
-    order = F.col("__n").desc() if descending else F.col("__n").asc()
-    group = locate(by_points, "__n", order, F.lit(int(rank)))
-    tied = keyed.filter(F.col("__n") == group["at"])
-    by_prefix = tied.groupBy("__p").agg(F.count("*").alias("c"))
-    near = locate(by_prefix, "__p", F.col("__p").asc(), group["left"])
+    place = hit.select("__n", F.aggregate("cells", none, step).alias("near")).first()
+    if place is None:
+        return series.limit(0)
+    near = keyed.where((F.col("__n") == place["__n"]) & (F.col("__p") == place.near.at))
     position = F.row_number().over(Window.partitionBy("__p").orderBy("__key"))
-    return (
-        tied.filter(F.col("__p") == near["at"])
-        .withColumn("__i", position)
-        .filter(F.col("__i") == near["left"])
-        .drop("__n", "__key", "__p", "__i")
-    )
+    return near.withColumn("__i", position).where(F.col("__i") == place.near.left).drop("__n", "__key", "__p", "__i")

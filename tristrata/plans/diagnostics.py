@@ -11,6 +11,7 @@ from ..operators.profile import (
     box_stats,
     box_stats_by_table,
     embedding_coverage,
+    long_table,
     numeric_properties,
     properties_table,
     property_stats,
@@ -53,13 +54,14 @@ def diagnostics(
 ) -> Diagnostics:
     """All tables of the characterisation; the flat property table is written once."""
     props = materialize(properties_table(catalogue.l2, catalogue.l3), "properties")
-    quarters = quartiles(props)
+    long = long_table(props)
+    quarters = quartiles(props, long=long)
     result = Diagnostics(
         properties=props,
         numeric=numeric_properties(props),
         stats=property_stats(props, quarters=quarters),
-        boxes=box_stats(props, quarters=quarters),
-        boxes_by_table=box_stats_by_table(props),
+        boxes=box_stats(props, quarters=quarters, long=long),
+        boxes_by_table=box_stats_by_table(props, long=long),
         coverage=embedding_coverage(catalogue.l2),
     )
     if with_map:

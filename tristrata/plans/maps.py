@@ -53,6 +53,8 @@ def map_l2_l3(
         if df.isEmpty():
             raise RuntimeError(f"no embeddings in the {level} level")
     a, b = pca_2d_joint(series, domains, "series_key", "domain_key", seed=seed, eps=eps)
+    # Labels are counted on the written points; they are not projected again for that.
+    a = materialize(a.drop("embedding"), "map-points")
     symbol = F.when(F.col(symbol_dim) == "", "(empty)").otherwise(F.col(symbol_dim))
     return JointMap(
         series=scatter_table(a, color_dim, topk_colors, "Other", "(empty)"),
