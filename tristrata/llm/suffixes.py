@@ -263,15 +263,10 @@ def shard_row(s: pa.RecordBatch, p: Prints, number: int) -> pa.RecordBatch:
     room = is_anchor & (p.offsets[text + 1] - at >= shape.half)
     half[room] = _named("half", p.names(at[room], shape.half))
     interval = np.where(name > 0, _named("interval", name), 0)
-    lists = [at.astype(np.int64), size.astype(np.int64), core, half, interval, close.astype(np.int64)]
-    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([number], pa.int64()), whole(s.column("doc_id")), whole(pa.array(p.offsets)), pa.array([p.raw.tobytes()], pa.binary()),
-            *[whole(pa.array(x)) for x in lists],
-        ],
-        SHARD_COLUMNS,
-    )
+    whole = lambda x, t=None: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
+    values = [pa.array([number], pa.int64()), whole(s.column("doc_id")), whole(p.offsets, pa.int64()), pa.array([p.raw.tobytes()], pa.binary())]
+    lists = {"at": at, "close": close, "core": core, "half": half, "interval": interval}
+    return pa.RecordBatch.from_arrays([*values, *[whole(lists[c], t) for c, t in SHARD_LISTS.items()]], SHARD_COLUMNS)
 
 
 def _short_names(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -283,7 +278,8 @@ def _short_names(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarra
     return textual.mix(np.add.reduceat(terms, at) + size.astype(np.uint64))
 
 
-SHARD_COLUMNS = ["shard", "docs", "offsets", "raw", "at", "size", "core", "half", "interval", "close"]
+SHARD_LISTS = {"at": pa.int32(), "close": pa.int32(), "core": pa.int64(), "half": pa.int64(), "interval": pa.int64()}
+SHARD_COLUMNS = ["shard", "docs", "offsets", "raw", *SHARD_LISTS]
 
 
 def shard_table(docs: DataFrame, shape: Shape, bits: np.ndarray) -> DataFrame:
@@ -312,7 +308,7 @@ def shard_table(docs: DataFrame, shape: Shape, bits: np.ndarray) -> DataFrame:
             left = np.zeros(s.num_rows, dtype=bool)
             left[np.searchsorted(p.offsets, p.anchors[hit], "right") - 1] = True
             done = s.filter(pa.array(~left))
-            kinds = kinds or [pa.int64(), pa.list_(s.schema.field("doc_id").type), pa.list_(pa.int64()), pa.binary(), *[pa.list_(pa.int64())] * 6]
+            kinds = kinds or [pa.int64(), pa.list_(s.schema.field("doc_id").type), pa.list_(pa.int64()), pa.binary(), *[pa.list_(t) for t in SHARD_LISTS.values()]]
             if done.num_rows:
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.nulls(done.num_rows, t) for t in kinds], done.column("doc_id"), *results(done.column("text"), None, shape)], names
@@ -326,7 +322,7 @@ def shard_table(docs: DataFrame, shape: Shape, bits: np.ndarray) -> DataFrame:
         if held:
             yield close()
 
-    arrays = ", ".join(f"{c} array<bigint>" for c in SHARD_COLUMNS[4:])
+    arrays = ", ".join(f"{c} array<{'int' if t == pa.int32() else 'bigint'}>" for c, t in SHARD_LISTS.items())
     return docs.select("doc_id", "text").mapInArrow(
         run, f"shard bigint, docs array<{kind}>, offsets array<bigint>, raw binary, {arrays}, doc_id {kind}, {RESULT_DDL}"
     )
@@ -375,8 +371,10 @@ def _counted(shard: int, *names: np.ndarray) -> pa.Table:
     return pa.table({"name": pa.array(name[keep]), "shard": pa.array(np.full(int(keep.sum()), shard)), "n": pa.array(n[keep], pa.int64())})
 
 
-def _covered(at: np.ndarray, close: np.ndarray, size: np.ndarray, interval: np.ndarray, held: np.ndarray, n: int, length: int) -> np.ndarray:
+def _covered(row: pa.Table, held: np.ndarray, n: int, length: int) -> np.ndarray:
     """Starts that the repeated intervals prove."""
+    at, close, interval = (_list(row, c) for c in ("at", "close", "interval"))
+    size = np.diff(np.append(at, n))
     out = np.zeros(n + 1, dtype=np.int32)
     yes = (interval != 0) & np.isin(interval, held)
     upto = np.minimum(at + size, close - length)  # last start whose string lies in the interval
@@ -408,109 +406,132 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield from _counted(row.column("shard")[0].as_py(), _list(row, "core"), _list(row, "half")).to_batches()
 
     # First round of the merge: blocks by the bytes that every repeat has behind its anchor.
-    known = materialize(_blocks(shards.select("shard", "core", "half").mapInArrow(coarse, "name bigint, shard bigint, n bigint")), "blocks")
+    coarse_blocks = materialize(_blocks(shards.select("shard", "core", "half").mapInArrow(coarse, "name bigint, shard bigint, n bigint")), "blocks")
 
     def fine(row: pa.Table, names: pa.Table) -> pa.Table:
         if not row.num_rows or not names.num_rows:
             return _counted(0, np.zeros(0, dtype=np.int64))
-        live = np.isin(_list(row, "core"), _held(names)) | (_list(row, "at") == 0)
+        live = np.isin(_list(row, "core"), _held(names))
         # A text's first phrase may be no anchor: it lives if the next one does.
         live[:-1] |= live[1:]
         return _counted(row.column("shard")[0].as_py(), _list(row, "interval")[live])
 
     # Second round: of the suffixes in such blocks, those that share whole intervals.
-    narrow = shards.select("shard", "at", "core", "interval")
-    rounds = narrow.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(fine, "name bigint, shard bigint, n bigint")
-    known = materialize(known.union(_blocks(rounds)), "blocks")
+    narrow = shards.select("shard", "core", "interval")
+    rounds = narrow.groupBy("shard").cogroup(coarse_blocks.groupBy("shard")).applyInArrow(fine, "name bigint, shard bigint, n bigint")
+    blocks = coarse_blocks.union(materialize(_blocks(rounds), "blocks"))
+    open_fields = {"name": pa.int64(), "shard": pa.int64(), "near": pa.int32(), "far": pa.int32()}
 
     def open_cores(row: pa.Table, names: pa.Table) -> pa.Table:
+        """Cores in blocks, with the range of distances at which starts before them are not proven."""
         if not row.num_rows or not names.num_rows:
-            return pa.table({"name": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "open": pa.array([], pa.bool_())})
-        held, at, offsets, core = _held(names), _list(row, "at"), _list(row, "offsets"), _list(row, "core")
+            return pa.table({k: pa.array([], t) for k, t in open_fields.items()})
+        held, at, offsets, core = _held(names), _list(row, "at").astype(np.int64), _list(row, "offsets"), _list(row, "core")
         n = int(offsets[-1])
-        sure = _covered(at, _list(row, "close"), _list(row, "size"), _list(row, "interval"), held, n, length)
+        sure = _covered(row, held, n, length)
+        places = np.arange(n + 1)
+        ahead = np.minimum.accumulate(np.where(np.append(sure, False), n + 1, places)[::-1])[::-1]
+        behind = np.maximum.accumulate(np.where(np.append(sure, True), -1, places))
         text = np.searchsorted(offsets, at, "right") - 1
-        # Starts that may have this anchor and are not proven yet.
-        unsure = np.concatenate([[0], np.cumsum(~sure)])
-        first = np.maximum(at - shape.window + 1, offsets[text])
-        upto = np.maximum(np.minimum(at, offsets[text + 1] - length) + 1, first)
         live = np.isin(core, held) & (core != 0)
-        name, of = np.unique(core[live], return_inverse=True)
-        is_open = np.zeros(len(name), dtype=bool)
-        np.logical_or.at(is_open, of, (unsure[upto] > unsure[first])[live])
-        return pa.table({"name": pa.array(name), "shard": pa.array(np.full(len(name), row.column("shard")[0].as_py())), "open": pa.array(is_open)})
-
-    places = shards.select("shard", "offsets", "at", "size", "core", "interval", "close")
-    cores = places.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(open_cores, "name bigint, shard bigint, open boolean")
-    cores = cores.withColumn("any_open", F.max("open").over(Window.partitionBy("name"))).where("any_open").select("name", "shard")
-    marks = materialize(
-        known.select("shard", "name", F.lit(0).alias("check"), F.lit(BLOCK).alias("kind")).union(cores.select("shard", "name", F.lit(0), F.lit(OPEN))), "marks"
-    )
+        at, text, core = at[live], text[live], core[live]
+        first, last = np.maximum(at - shape.window + 1, offsets[text]), np.minimum(at, offsets[text + 1] - length)
+        some = (last >= first) & (ahead[first] <= last)
+        name, of = np.unique(core[some], return_inverse=True)
+        near, far = np.full(len(name), n), np.full(len(name), -1)
+        np.minimum.at(near, of, (at - behind[last])[some])
+        np.maximum.at(far, of, (at - ahead[first])[some])
+        values = [name, np.full(len(name), row.column("shard")[0].as_py()), near, far]
+        return pa.table({k: pa.array(v, t) for (k, t), v in zip(open_fields.items(), values)})
+
+    places = shards.select("shard", "offsets", "at", "close", "core", "interval")
+    found = places.groupBy("shard").cogroup(blocks.groupBy("shard")).applyInArrow(open_cores, "name bigint, shard bigint, near int, far int")
+    ranges = materialize(found.groupBy("name").agg(F.min("near").alias("a"), F.max("far").alias("b")), "open-cores")
+    # Every shard that has such a core takes part, whether its own starts are proven or not.
+    opened = coarse_blocks.join(ranges, "name").select("shard", "name", "a", "b", F.lit(OPEN).alias("kind"))
+    marks = blocks.select("shard", "name", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(BLOCK).alias("kind")).union(opened)
 
     def edge_starts(row: pa.Table, marks: pa.Table) -> tuple[Prints, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Proven starts, and the starts to be counted with their names."""
         offsets = _list(row, "offsets")
         p = Prints(shape, np.frombuffer(row.column("raw")[0].as_py(), dtype=np.uint8), offsets)
-        kinds = marks.column("kind").to_numpy()
-        held = marks.column("name").to_numpy()
-        known, opened = held[kinds == BLOCK], held[kinds == OPEN]
-        at, core = _list(row, "at"), _list(row, "core")
-        sure = _covered(at, _list(row, "close"), _list(row, "size"), _list(row, "interval"), known, len(p.raw), length)
-        live = np.isin(core, opened) & (core != 0)
-        near = live & np.isin(_list(row, "half"), known)
-        # The anchor of a start: the leftmost least gram of its window.
-        mark = np.zeros(len(p.raw), dtype=np.int64)
-        mark[p.anchors] = 1
-        following = np.cumsum(mark) - mark  # number of the first anchor at or behind each byte
-        some = np.zeros(len(p.raw) + 1, dtype=np.int32)
-        np.add.at(some, np.maximum(at[live] - shape.window + 1, 0), 1)
-        np.add.at(some, at[live] + 1, -1)
-        start = np.flatnonzero((np.cumsum(some[:-1]) > 0) & (p.end - np.arange(len(p.raw)) >= length))
-        number = following[start]
-        wrong = p.gram[p.anchors[number]] != p.low[start] if len(start) else np.zeros(0, dtype=bool)
+        n = len(p.raw)
+        kinds, held = marks.column("kind").to_numpy(), marks.column("name").to_numpy()
+        known = held[kinds == BLOCK]
+        sure = _covered(row, known, n, length)
+        opened = held[kinds == OPEN]
+        order = np.argsort(opened)
+        near, far = (marks.column(c).to_numpy()[kinds == OPEN][order] for c in "ab")
+        opened = opened[order]
+        core = core_names(p)
+        number = np.minimum(np.searchsorted(opened, core), max(len(opened) - 1, 0))
+        live = (opened[number] == core) & (core != 0) if len(opened) else np.zeros(len(core), dtype=bool)
+        at = p.anchors[live]
+        nearest, farthest = (x[number[live]].astype(np.int64) for x in (near, far))
+        half = np.zeros(len(at), dtype=bool)
+        room = p.end[at] - at >= shape.half if len(at) else half
+        half[room] = np.isin(_named("half", p.names(at[room], shape.half)), known)
+        # Starts that an open core may belong to, and their anchor: the leftmost least gram of the window.
+        some = np.zeros(n + 1, dtype=np.int32)
+        np.add.at(some, np.maximum(at - farthest, 0), 1)
+        np.add.at(some, at - nearest + 1, -1)
+        start = np.flatnonzero((np.cumsum(some[:-1]) > 0) & (p.end - np.arange(n) >= length))
+        anchor = np.searchsorted(p.anchors, start)
+        wrong = p.gram[p.anchors[anchor]] != p.low[start]
         while wrong.any():
-            number[wrong] += 1
-            wrong = p.gram[p.anchors[number]] != p.low[start]
-        index = np.searchsorted(at, p.anchors)
-        of = index[number] if len(start) else number
-        ahead = p.anchors[number] - start if len(start) else number
-        keep = np.where(ahead <= shape.window // 2, near[of], live[of]) if len(start) else np.zeros(0, dtype=bool)
+            anchor[wrong] += 1
+            wrong = p.gram[p.anchors[anchor]] != p.low[start]
+        place = np.cumsum(live) - 1
+        mine = live[anchor]
+        start, of = start[mine], place[anchor[mine]]
+        distance = at[of] - start
+        keep = (distance >= nearest[of]) & (distance <= farthest[of]) & (half[of] | (distance > shape.window // 2))
         start = start[keep]
-        name = p.names(start, length).view(np.int64) if len(start) else np.zeros(0, dtype=np.int64)
-        check = (p.names(start, length, other=True) >> np.uint64(32)).astype(np.uint32).view(np.int32) if len(start) else np.zeros(0, dtype=np.int32)
+        name = p.names(start, length).view(np.int64)
+        check = (p.names(start, length, other=True) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         return p, sure, start, name, check
 
     def emit(row: pa.Table, marks: pa.Table) -> pa.Table:
-        fields = {"name": pa.int64(), "check": pa.int32(), "shard": pa.int64(), "n": pa.int8()}
+        fields = {"name": pa.int64(), "check": pa.int32(), "shard": pa.int64(), "n": pa.int8(), "asks": pa.bool_()}
         if not row.num_rows or not marks.num_rows:
             return pa.table({k: pa.array([], t) for k, t in fields.items()})
-        _, _, _, name, check = edge_starts(row, marks)
+        _, sure, start, name, check = edge_starts(row, marks)
         order = np.lexsort((check, name))
-        name, check = name[order], check[order]
+        name, check, asks = name[order], check[order], ~sure[start[order]]
         new = np.ones(len(name), dtype=bool)
         new[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
-        n = np.diff(np.append(np.flatnonzero(new), len(name)))
-        values = [name[new], check[new], np.full(int(new.sum()), row.column("shard")[0].as_py()), np.minimum(n, 2).astype(np.int8)]
+        first = np.flatnonzero(new)
+        n = np.diff(np.append(first, len(name)))
+        asked = np.logical_or.reduceat(asks, first) if len(first) else asks
+        values = [name[new], check[new], np.full(len(first), row.column("shard")[0].as_py()), np.minimum(n, 2).astype(np.int8), asked]
         return pa.table({k: pa.array(v, t) for (k, t), v in zip(fields.items(), values)})
 
-    with_text = shards.select(*[c for c in SHARD_COLUMNS if c != "docs"])
-    strings = with_text.groupBy("shard").cogroup(marks.groupBy("shard")).applyInArrow(emit, "name bigint, check int, shard bigint, n tinyint")
+    with_text = shards.select("shard", "docs", "offsets", "raw", "at", "close", "interval").groupBy("shard")
+    strings = with_text.cogroup(marks.groupBy("shard")).applyInArrow(emit, "name bigint, check int, shard bigint, n tinyint, asks boolean")
     total = F.sum("n").over(Window.partitionBy("name", "check"))
-    twice = strings.withColumn("total", total).where("total > 1").select("shard", "name", "check", F.lit(START).alias("kind"))
+    twice = strings.withColumn("total", total).where("total > 1 and asks")
+    twice = twice.select("shard", "name", F.col("check").alias("a"), F.lit(0).alias("b"), F.lit(START).alias("kind"))
 
     def finish(row: pa.Table, marks: pa.Table) -> pa.Table:
         if not row.num_rows:
             return pa.table({"doc_id": pa.array([], doc_type), **{c: pa.array([], t) for c, t in zip(RESULT_COLUMNS, RESULT_TYPES)}})
-        kinds = marks.column("kind").to_numpy()
         p, sure, start, name, check = edge_starts(row, marks)
-        asked = kinds == START
+        asked = marks.column("kind").to_numpy() == START
         pairs = np.empty(int(asked.sum()), dtype=[("name", "<i8"), ("check", "<i4")])
-        pairs["name"], pairs["check"] = marks.column("name").to_numpy()[asked], marks.column("check").to_numpy()[asked]
+        pairs["name"], pairs["check"] = marks.column("name").to_numpy()[asked], marks.column("a").to_numpy()[asked]
         mine = np.empty(len(name), dtype=pairs.dtype)
         mine["name"], mine["check"] = name, check
-        pairs.sort()
-        at = np.minimum(np.searchsorted(pairs, mine), max(len(pairs) - 1, 0))
-        sure[start[pairs[at] == mine] if len(pairs) else start[:0]] = True
+        pairs = pairs[np.lexsort((pairs["check"], pairs["name"]))]
+        at = np.searchsorted(pairs["name"], name)
+        hit = np.zeros(len(name), dtype=bool)
+        while len(pairs):  # names that differ in the check only follow one another
+            there = np.minimum(at, len(pairs) - 1)
+            same = (at < len(pairs)) & (pairs["name"][there] == name)
+            hit |= same & (pairs["check"][there] == check)
+            if not (same & ~hit).any():
+                break
+            at = at + 1
+        sure[start[hit]] = True
         texts = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(p.offsets) - 1, [None, pa.py_buffer(p.offsets.astype(np.int64).tobytes()), pa.py_buffer(p.raw.tobytes())]
         )
@@ -518,8 +539,8 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return pa.table({"doc_id": row.column("docs").combine_chunks().flatten(), **dict(zip(RESULT_COLUMNS, out))})
 
     doc_type = pa.schema([pa.field("x", _arrow_type(docs, "doc_id"))])[0].type
-    all_marks = marks.union(twice.select("shard", "name", "check", "kind"))
-    cut = shards.select(*SHARD_COLUMNS).groupBy("shard").cogroup(all_marks.groupBy("shard")).applyInArrow(finish, f"doc_id {kind}, {RESULT_DDL}")
+    # Both passes over the shards read one exchange of their texts.
+    cut = with_text.cogroup(marks.union(twice).groupBy("shard")).applyInArrow(finish, f"doc_id {kind}, {RESULT_DDL}")
     return table.where("shard is null").select("doc_id", *RESULT_COLUMNS).unionByName(cut)
 
 
