@@ -210,3 +210,55 @@ def test_catalogue_with_a_callers_encoder(spark, make_facts):
     for row in [*c.l2.collect(), *c.l3.collect()]:
         assert row["description"]["embedding"] == [float(len(row["description"]["string"])), 1.0]
         assert row["embedding_meta"]["embedding_model"] == "letters" and row["embedding_meta"]["embedding_dim"] == 2
+
+
+def scanned_rows(df):
+    """Rows that the scan of ``df`` handed on, and the result."""
+    found = df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value(), found
+
+
+def test_keyed_lookups_read_few_row_groups(spark, make_facts, tmp_path):
+    """A lookup in the columnar form reads one row group; an absent key mostly none."""
+    import pyarrow.parquet as pq
+
+    from tristrata.operators.lookup import lookup_records, lookup_series
+    from tristrata.plans.build import read_keyed
+    from tristrata.sources.levels import write_keyed_level
+
+    rows = [(f"area {i}", "item", "element", "unit", str(2000 + k), str(i * k)) for i in range(3000) for k in range(2)]
+    built = build_catalogue(make_facts(rows), stage=True)
+    for level in ("l3", "l2", "l1"):
+        write_keyed_level(getattr(built, level), f"{tmp_path}/keyed/{level}", level, row_group_bytes=20_000)
+    groups = [pq.ParquetFile(f).metadata for f in (tmp_path / "keyed" / "l1").glob("*.parquet")]
+    assert sum(g.num_row_groups for g in groups) > 8
+    largest = max(g.row_group(i).num_rows for g in groups for i in range(g.num_row_groups))
+    cat = read_keyed(spark, f"{tmp_path}/keyed")
+    keys = sorted(r[0] for r in cat.l1.select("identity.series_key").collect())
+    assert len(keys) == 3000
+    for key in (keys[0], keys[1500], keys[-1]):
+        read, found = scanned_rows(lookup_records(cat.l1, key))
+        assert [r.identity.series_key for r in found] == [key] and read <= largest
+        assert lookup_series(cat.l2, cat.l3, key).count() == 1
+    absent = [scanned_rows(lookup_records(cat.l1, keys[i][:-1] + "~")) for i in range(0, 3000, 300)]
+    assert all(found == [] for _, found in absent) and sum(read == 0 for read, _ in absent) >= 8
+
+
+def test_catalogue_is_read_from_its_columnar_form_if_there_is_one(spark, make_facts, tmp_path):
+    built = build_catalogue(make_facts(ROWS), stage=True)
+    write_catalogue(built, f"{tmp_path}/both")
+    write_catalogue(built, f"{tmp_path}/lines", keyed=False)
+    both, lines = (read_catalogue(spark, f"{tmp_path}/{x}") for x in ("both", "lines"))
+    for level in ("l3", "l2", "l1"):
+        rows = [sorted(map(str, getattr(c, level).collect())) for c in (built, both, lines)]
+        assert rows[0] == rows[1] == rows[2]
+    assert "parquet" in both.l1._jdf.queryExecution().optimizedPlan().toString()
+    assert "json" in lines.l1._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_sort_aggregate_with_codes(make_facts):
+    spec = BuildSpec(include_codes=True, drop_columns_regex=".*(Source|Flag|Note|Unnamed).*")
+    built = build_catalogue(make_facts(ROWS), spec)
+    plan = built.l2._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -29,50 +29,76 @@ def series_groups(facts: DataFrame) -> DataFrame:
     return facts.groupBy(*SERIES_DIMS).agg(F.count("*").alias("n_rows"))
 
 
+# Two hashes that together name the codes of a row: numbers, so aggregates stay in hash maps.
+CODE_NAMES = ["__code_a", "__code_b"]
+
+
+def _codes_in(df: DataFrame) -> list[str]:
+    return [c for c in CODE_DIMS if c in df.columns]
+
+
+def _code_names(codes: list[str]) -> list[Column]:
+    text = F.to_json(F.struct(*codes), {"ignoreNullFields": "false"})
+    return [F.xxhash64(F.lit(salt), text).alias(name) for salt, name in zip("ab", CODE_NAMES)]
+
+
+def code_sets(facts: DataFrame) -> DataFrame | None:
+    """Distinct code tuples of the facts by their names, or None without codes: few, as codes follow dimensions."""
+    codes = _codes_in(facts)
+    if not codes:
+        return None
+    return facts.select(*codes).distinct().select(*_code_names(codes), F.struct(*codes).alias("codes"))
+
+
 def first_codes(facts: DataFrame) -> DataFrame:
-    """Codes of the first row of each series, rows without a year included."""
-    codes = [c for c in CODE_DIMS if c in facts.columns]
-    return facts.groupBy(*SERIES_DIMS).agg(
-        F.min_by(F.struct(*codes), ORDER).alias("codes")
-    ).select(*SERIES_DIMS, *[F.col(f"codes.{c}").alias(c) for c in codes])
+    """Codes of the first row of each series, rows without a year included.
+
+    The names of the codes are aggregated and the codes joined back once per series.
+    """
+    codes = _codes_in(facts)
+    named = facts.select(*SERIES_DIMS, ORDER, *_code_names(codes))
+    first = named.groupBy(*SERIES_DIMS).agg(*[F.min_by(c, ORDER).alias(c) for c in CODE_NAMES])
+    return first.join(code_sets(facts), CODE_NAMES).select(*SERIES_DIMS, *[F.col(f"codes.{c}").alias(c) for c in codes])
 
 
 def dedup_keep_last(facts: DataFrame, shuffle: str = "spread") -> DataFrame:
     """One row per (series, Year): the value of the last row, null values included.
 
-    The order key is a plain bigint, so the aggregation runs in a hash map and
+    The order key is a plain decimal, so the aggregation runs in a hash map and
     combines duplicates before the shuffle: a hot series sends at most one row per
     year and task. Rows without a year stay as one row per series (they count for
-    cards and first codes).
+    cards and first codes). Codes are carried by their names (``code_sets``).
     """
-    codes = [c for c in CODE_DIMS if c in facts.columns]
+    codes = _codes_in(facts)
     if shuffle == "colocate":
         facts = facts.repartition(*SERIES_DIMS)
     elif shuffle != "spread":
         raise ValueError(f"shuffle must be 'spread' or 'colocate', got {shuffle!r}")
-    return facts.groupBy(*SERIES_DIMS, "Year").agg(
+    named = facts.withColumns({c: name for c, name in zip(CODE_NAMES, _code_names(codes))}) if codes else facts
+    return named.groupBy(*SERIES_DIMS, "Year").agg(
         F.max_by("Value", ORDER).alias("Value"),
         F.min(ORDER).alias(FIRST),
-        *([F.min_by(F.struct(*codes), ORDER).alias("codes")] if codes else []),
+        *([F.min_by(c, ORDER).alias(c) for c in CODE_NAMES] if codes else []),
     )
 
 
-def record_bundles(points: DataFrame) -> DataFrame:
+def record_bundles(points: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """One row per series with its (Year, Value) array in year order.
 
     The array holds one entry per distinct year. Series whose rows all lack a year
     come out with an empty array and are dropped later, after cards were taken.
+    ``codes`` (see :func:`code_sets`) puts the codes of the first row back in.
     """
-    codes = "codes" in points.columns
-    return points.groupBy(*SERIES_DIMS).agg(
+    bundles = points.groupBy(*SERIES_DIMS).agg(
         F.array_sort(
             F.collect_list(
                 F.when(F.col("Year").isNotNull(), F.struct("Year", "Value"))
             )
         ).alias("data"),
         F.min(FIRST).alias(FIRST),
-        *([F.min_by("codes", FIRST).alias("codes")] if codes else []),
+        *([F.min_by(c, FIRST).alias(c) for c in CODE_NAMES] if codes is not None else []),
     )
+    return bundles if codes is None else bundles.join(codes, CODE_NAMES, "left").drop(*CODE_NAMES)
 
 
 def series_stats(bundles: DataFrame, only: Sequence[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from ..operators.levels import domain_level, records_level, series_level, with_k
 from ..operators.series import (
     FIRST,
     catalogue_counts,
+    code_sets,
     dedup_keep_last,
     record_bundles,
     select_bundles,
@@ -22,7 +24,7 @@ from ..operators.series import (
 )
 from ..schema import L3_DIMS, LEVEL_SCHEMAS, ORDER
 from ..shared import materialize
-from ..sources.levels import dataset_manifest, read_jsonl_level, write_jsonl_level
+from ..sources.levels import dataset_manifest, read_jsonl_level, read_keyed_level, write_jsonl_level, write_keyed_level
 from ..sources.tables import read_sources
 
 
@@ -92,7 +94,7 @@ def build_catalogue(
     embeddings = embeddings or EmbeddingSpec()
     encoder, model = resolve_encoder(embeddings, encoder)
     prepared = prepare_facts(facts, spec, order_col)
-    bundles = record_bundles(dedup_keep_last(prepared, spec.shuffle))
+    bundles = record_bundles(dedup_keep_last(prepared, spec.shuffle), code_sets(prepared))
     if stage:
         bundles = materialize(bundles, "bundles")
     cards = bundles.groupBy(*L3_DIMS).agg(F.min(FIRST).alias(FIRST))
@@ -108,24 +110,45 @@ def build_catalogue(
     )
 
 
-def write_catalogue(catalogue: Catalogue, out: str) -> dict[str, str]:
-    """Write the levels as JSON lines below ``out`` and return their paths."""
-    return {
-        level: write_jsonl_level(getattr(catalogue, level), f"{out}/{level}")
-        for level in ("l3", "l2", "l1")
-    }
+LEVELS = ("l3", "l2", "l1")
 
 
-def read_catalogue(spark: SparkSession, out: str) -> Catalogue:
-    return Catalogue(**{
-        level: read_jsonl_level(spark, f"{out}/{level}", level) for level in ("l3", "l2", "l1")
-    })
+def write_catalogue(catalogue: Catalogue, out: str, keyed: bool = True) -> dict[str, str]:
+    """Write the levels as JSON lines below ``out`` and return their paths.
+
+    ``keyed`` also writes the columnar form for lookups below ``out/keyed``.
+    """
+    paths = {level: write_jsonl_level(getattr(catalogue, level), f"{out}/{level}") for level in LEVELS}
+    if keyed:
+        write_keyed(catalogue, f"{out}/keyed")
+    return paths
 
 
-def run(spark: SparkSession, config: CatalogueConfig, out: str, encoder=None) -> dict:
+def write_keyed(catalogue: Catalogue, out: str) -> dict[str, str]:
+    """Only the columnar form, below ``out``."""
+    return {level: write_keyed_level(getattr(catalogue, level), f"{out}/{level}", level) for level in LEVELS}
+
+
+def read_keyed(spark: SparkSession, out: str) -> Catalogue:
+    return Catalogue(**{level: read_keyed_level(spark, f"{out}/{level}", level) for level in LEVELS})
+
+
+def read_catalogue(spark: SparkSession, out: str) -> Catalogue:
+    """The catalogue below ``out``: its columnar form if there is one, else the JSON lines."""
+    keyed = f"{out}/keyed"
+    try:
+        spark.read.parquet(f"{keyed}/l1")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Catalogue(**{level: read_jsonl_level(spark, f"{out}/{level}", level) for level in LEVELS})
+    return read_keyed(spark, keyed)
+
+
+def run(spark: SparkSession, config: CatalogueConfig, out: str, encoder=None, keyed: bool = True) -> dict:
     """Read the configured sources, build, write, and return paths and counts.
 
-    Below ``out`` lie the levels and ``manifest``: name, rows, file, sha256 and bytes of
+    Below ``out`` lie the levels, their columnar form (``keyed``) and ``manifest``: name, rows, file, sha256 and bytes of
     every part file. Counts come from the staged bundles; no level is read again.
     """
     resolve_encoder(config.embeddings, encoder)
@@ -133,7 +156,7 @@ def run(spark: SparkSession, config: CatalogueConfig, out: str, encoder=None) ->
     built = build_catalogue(
         facts, config.build, config.embeddings, encoder, stage=True
     )
-    paths = write_catalogue(built, out)
+    paths = write_catalogue(built, out, keyed)
     points = built.l1.agg(
         F.count("*").alias("series"), F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("records")
     ).first()
