@@ -82,7 +82,7 @@ def textual_print(text):
 def same_dedup(docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     _PRINTS.update({r.text: r.p for r in docs.select("text", F.xxhash64("text").alias("p")).collect()})
-    got = [tuple(r) for r in linededup.dedup(docs).collect()]
+    got = [tuple(r) for r in linededup.dedup(docs, runs=False).collect()]
     assert sorted(map(str, got)) == sorted(map(str, plain_dedup(rows)))
     return got
 
@@ -163,7 +163,7 @@ def test_repeated_runs_go_whatever_the_chunks(docs_of, prose):
     rows += [rows[5], (300, "\n" * 300 + rows[6][1]), (301, None), (302, "")]
     docs = docs_of(rows)
     _PRINTS.update({r.text: r.p for r in docs.select("text", F.xxhash64("text").alias("p")).collect()})
-    runs, chunks = plain_runs(rows), collections.Counter((r.doc_id, r.n_removed) for r in linededup.dedup(docs).collect())
+    runs, chunks = plain_runs(rows), collections.Counter((r.doc_id, r.n_removed) for r in linededup.dedup(docs, runs=False).collect())
     found = {}
     for r in linededup.repeated_runs(docs.select("doc_id", "text")).collect():
         found[r.doc_id] = {k for x in r.runs for k in range(x.at, x.at + x.size)}
@@ -171,7 +171,7 @@ def test_repeated_runs_go_whatever_the_chunks(docs_of, prose):
     wide = lambda gone: {d: {k for k in g if 0 < count(t.split("\n")[k]) < 50} for (d, t), g in gone.items()}
     short = {d: {k for k in g if 0 < count(dict(rows)[d].split("\n")[k]) < 50} for d, g in found.items()}
     assert {d: g for d, g in short.items() if g} == {d: g for d, g in wide(runs).items() if g} and len(runs) > 20
-    got = {r.doc_id: r for r in linededup.dedup(docs, runs=True).collect()}
+    got = {r.doc_id: r for r in linededup.dedup(docs).collect()}
     for (d, t), gone in runs.items():
         lines = t.split("\n")
         assert got[d].n_removed >= len(gone) and got[d].n_removed == len(lines) - (got[d].text.count("\n") + 1 if got[d].text or len(lines) > got[d].n_removed else 0)

@@ -22,9 +22,13 @@ from pyspark.sql import functions as F
 
 from . import textual
 
-KEPT_PIECES = 400_000
-#: Ids of pieces met before by this worker, at most KEPT_PIECES of a vocabulary.
-_KNOWN: dict[tuple[str, str], dict[str, bytes]] = {}
+#: Bytes of pieces and ids that a worker remembers of earlier blocks.
+KEPT_BYTES = 24 << 20
+#: What a remembered piece takes besides its letters and ids.
+PIECE_COST = 150
+#: Ids of pieces met before by this worker, and their bytes, of each vocabulary.
+_KNOWN: dict[tuple[str, str], tuple[dict[str, bytes], list[int]]] = {}
+SLICE_BYTES = 1 << 20
 NO_MERGE = np.int64(1) << 40
 
 
@@ -150,46 +154,73 @@ def splitter(pattern: str):
     return lambda text: quick(text) if text.isascii() else general(text)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
+def _encoder(path: str, pattern: str):
+    """A function from texts to their ids as little-endian 32-bit integers run together.
+
+    Pieces of earlier blocks are remembered up to KEPT_BYTES, which changes no result.
+    """
+    merges = load(path)
+    find = splitter(pattern)
+    known, held = _KNOWN.setdefault((path, pattern), ({}, [0]))
+
+    def ids_of(texts: list[str | None]) -> list[bytes]:
+        rows = [find(t) if t else [] for t in texts]
+        new = list(set().union(*rows).difference(known))
+        if held[0] > KEPT_BYTES:
+            known.clear()
+            held[0] = 0
+            new = list(set().union(*rows))
+        if new:
+            ids, ends = replay([p.encode() for p in new], merges)
+            flat, ends = ids.tobytes(), (ends * 4).tolist()
+            known.update((p, flat[a:b]) for p, a, b in zip(new, [0, *ends], ends))
+            held[0] += len(flat) + sum(map(len, new)) + PIECE_COST * len(new)
+        return [b"".join(map(known.__getitem__, r)) for r in rows]
+
+    return ids_of
+
+
+@lru_cache(maxsize=4)
+def names_of(path: str) -> list[bytes]:
+    """The bytes of each id of a rank file, without its merges."""
+    with open(path, "rb") as lines:
+        ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+    return [ranks.get(i, b"") for i in range(max(ranks, default=-1) + 1)]
+
+
+def _decoded(ids: bytes | None, names: list[bytes]) -> bytes:
+    return b"".join(map(names.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", back: bool = False) -> DataFrame:
     """Key, n_tokens and ids (little-endian 32-bit integers run together) of each row.
 
     Each match of ``pattern`` is encoded separately; a null text is empty. ``path`` is a
-    rank file that every executor has. Pieces of earlier blocks are remembered in a
-    table of at most KEPT_PIECES, which changes no result.
+    rank file that every executor has. ``back`` adds ``decoded``, the bytes that the ids
+    stand for, in the same worker.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = load(path)
-        find = splitter(pattern)
-        known = _KNOWN.setdefault((path, pattern), {})
-        for s in textual.slices(batches, "text"):
-            rows = [find(t) if t else [] for t in s.column("text").to_pylist()]
-            there = set().union(*rows)
-            new = list(there.difference(known))
-            if len(known) + len(new) > KEPT_PIECES:
-                known.clear()
-                new = list(there)
-            if new:
-                ids, ends = replay([p.encode() for p in new], merges)
-                flat, ends = ids.tobytes(), (ends * 4).tolist()
-                known.update((p, flat[a:b]) for p, a, b in zip(new, [0, *ends], ends))
-            ids = [b"".join(map(known.__getitem__, r)) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [s.column(key), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                [key, "n_tokens", "ids"],
-            )
+        ids_of, names = _encoder(path, pattern), load(path).names
+        for s in textual.slices(batches, "text", SLICE_BYTES):
+            ids = ids_of(s.column("text").to_pylist())
+            columns = {key: s.column(key), "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            if back:
+                columns["decoded"] = pa.array([_decoded(x, names) for x in ids], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     wanted = docs.select(key, "text")
-    return wanted.mapInArrow(run, f"{key} {wanted.schema[key].dataType.simpleString()}, n_tokens bigint, ids binary")
+    schema = f"{key} {wanted.schema[key].dataType.simpleString()}, n_tokens bigint, ids binary" + (", decoded binary" if back else "")
+    return wanted.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     """The rows of ``encode`` with the bytes that their ids stand for (null ids: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = load(path).names
-        for s in textual.slices(batches, "ids"):
-            back = [b"".join(map(names.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in s.column("ids").to_pylist()]
+        names = names_of(path)
+        for s in textual.slices(batches, "ids", SLICE_BYTES):
+            back = [_decoded(x, names) for x in s.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*s.columns, pa.array(back, pa.binary())], [*s.schema.names, "decoded"])
 
     wanted = encoded.select(key, "n_tokens", "ids")
@@ -198,8 +229,8 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded from the ids."""
-    back = decode(encode(docs, path, pattern), path)
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded from the ids, by one worker per task."""
+    back = encode(docs, path, pattern, back=True)
     return back.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -1,17 +1,21 @@
 """Line deduplication over content-defined chunks, with DataFrame functions only.
 
 A rolling hash over the hashes of a line and the one before it decides whether a chunk
-ends there, so boundaries move with the text. Lines of LONG_LINE words or more are chunks
+ends there, so boundaries move with the text. A chunk ends where it is even, after two
+lines on average; with an odd base that bit is the last bits of both hashes, added. Lines of LONG_LINE words or more are chunks
 of their own. Chunks are grouped by digest and by their bytes; every occurrence but the
 first (least doc_id, then place) is repeated. Neighbouring repeated chunks of a document
 form a passage; it is removed if it has two lines and LEAST_WORDS words, or LONG_LINE
 words.
 
-Chunk borders can cut a passage where it meets foreign lines. With ``runs``, the exact step
-``repeated_runs`` also removes every run of lines of LONG_LINE words that stands earlier as
+Chunk borders can cut a passage where it meets foreign lines. Unless ``runs`` is off, the exact
+step ``repeated_runs`` also removes every run of lines of LONG_LINE words that stands earlier as
 it is, whatever its borders: each line opens and closes one shortest run of that many words,
 and the repeated shortest runs cover exactly the lines of all repeated longer ones.
 
+Line hashes are counted first: a chunk or run can only repeat if all its lines do, so texts
+without enough neighbouring repeated lines are done and only the others are cut and compared.
+
 Inside, every line carries a tag: B where a chunk begins, C elsewhere. A line break is
 always followed by a tag, so chunks can be split and joined as strings.
 """
@@ -21,10 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shared import materialize
+from ..shared import materialize, scratch_path
 
-DIVISOR = 2
-BASE = 31
 LONG_LINE = 50
 LEAST_WORDS = 20
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,16 +41,21 @@ def _is_long(line: Column) -> Column:
     return (F.length(line) >= 2 * LONG_LINE - 1) & (F.regexp_count(line, F.lit(WORD)) >= LONG_LINE)
 
 
+def _is_odd(line: Column) -> Column:
+    """The last bit of a line's hash (the first 32 bits of its md5)."""
+    return F.instr(F.lit("13579bdf"), F.substring(F.md5(line.cast("binary")), 8, 1)) > 0
+
+
 def with_chunks(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with ``print``, a hash of the text, and its tagged ``chunks``; null texts have none."""
     lines = docs.withColumn("lines", F.split("text", "\n", -1))
     hashed = lines.select(
         "*",
-        F.transform("lines", lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("bigint")).alias("hashes"),
+        F.transform("lines", _is_odd).alias("odd"),
         F.transform("lines", _is_long).alias("long"),
     )
     ended = hashed.select(
-        "*", F.zip_with("hashes", _shifted(F.col("hashes"), F.lit(0).cast("bigint")), lambda a, b: (b * BASE + a) % DIVISOR == 0).alias("ends")
+        "*", F.zip_with("odd", _shifted(F.col("odd"), F.lit(False)), lambda a, b: a == b).alias("ends")
     )
     begins = F.zip_with(
         F.zip_with(_shifted(F.col("ends"), F.lit(True)), _shifted(F.col("long"), F.lit(False)), lambda a, b: a | b), F.col("long"), lambda a, b: a | b
@@ -201,8 +208,48 @@ def _without(gone: Column, runs: Column, chunks: Column, text: Column) -> Column
     return _let(F.split(text, "\n", -1), lambda lines: F.transform(left(lines), lambda i: F.get(lines, i)))
 
 
-def _stripped_of_runs(docs: DataFrame) -> DataFrame:
-    """(row, gone, text, n_lost): as ``_stripped``, the lines of ``repeated_runs`` gone as well."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, print, pos, key, chars) of the lines with words of ``docs`` (doc_id, text), numbered among those."""
+    shape = lambda x: F.struct(F.xxhash64(x).alias("key"), F.length(x).alias("chars"), (F.btrim(x, F.lit(" \t\n\x0b\f\r")) == "").alias("blank"))
+    lines = F.filter(F.transform(F.split("text", "\n", -1), shape), lambda s: ~s.blank)
+    placed = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("print"), F.posexplode(lines).alias("pos", "line"))
+    return placed.select("doc_id", "print", "pos", "line.key", "line.chars")
+
+
+def suspects(docs: DataFrame) -> DataFrame:
+    """(doc_id, print) of the texts that may lose lines: neighbouring lines that all occur twice could hold words enough."""
+    lines = materialize(_lines(docs), "line-hashes")
+    again = lines.groupBy("key").count().where("count > 1").select("key")
+    held = lines.join(again, "key").groupBy("doc_id", "print").agg(F.sort_array(F.collect_set(F.struct("pos", "chars"))).alias("held"))
+    none = F.struct(F.lit(-9).alias("pos"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("chars"), F.lit(False).alias("enough"))
+
+    def step(a: Column, s: Column) -> Column:
+        joins = s.pos == a.pos + 1
+        n, chars = F.when(joins, a.n + 1).otherwise(1), F.when(joins, a.chars + s.chars + 1).otherwise(s.chars.cast("bigint"))
+        # So many words need as many letters and a space between each two.
+        enough = a.enough | ((n >= 2) & (chars >= 2 * LEAST_WORDS - 1)) | (chars >= 2 * LONG_LINE - 1)
+        return F.struct(s.pos.alias("pos"), n.alias("n"), chars.alias("chars"), enough.alias("enough"))
+
+    return held.where(F.aggregate("held", none, step, lambda a: a.enough)).select("doc_id", "print")
+
+
+def _stripped(docs: DataFrame, runs: bool) -> DataFrame:
+    """(row, gone, text, n_lost): the rows as they are, what they lose, what is left and how many lines go."""
+    spark = docs.sparkSession
+    keys = suspects(docs.select("doc_id", "text")).select(F.col("doc_id").alias("of"), F.col("print").alias("of_print"), F.lit(1).alias("found"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("row_print", F.xxhash64("row.text"))
+    joined = rows.join(keys, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("row_print") == F.col("of_print")), "left")
+    joined = joined.select("row", F.coalesce("found", F.lit(0)).alias("suspect"))
+    path = scratch_path(spark, "suspects")
+    joined.write.partitionBy("suspect").parquet(path)
+    joined = spark.read.schema(joined.schema).parquet(path)
+    cut = (_cut_runs if runs else _cut_chunks)(joined.where("suspect = 1").select("row.*"))
+    clean = joined.where("suspect = 0").select("row", F.lit(None).cast(cut.schema["gone"].dataType).alias("gone"), "row.text", F.lit(0).alias("n_lost"))
+    return clean.union(cut.select("row", "gone", "text", "n_lost"))
+
+
+def _cut_runs(docs: DataFrame) -> DataFrame:
+    """(row, gone, text, n_lost): as ``_cut_chunks``, the lines of ``repeated_runs`` gone as well."""
     found = docs.select("doc_id", "text")
     chunks, runs = removals(with_chunks(found)), repeated_runs(found)
     keys = (
@@ -222,7 +269,7 @@ def _stripped_of_runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def _stripped(docs: DataFrame) -> DataFrame:
+def _cut_chunks(docs: DataFrame) -> DataFrame:
     """(row, gone, text, n_lost): the rows as they are, what they lose, what is left and how many lines go."""
     gone = removals(with_chunks(docs.select("doc_id", "text")))
     keys = gone.withColumnsRenamed({"doc_id": "of", "print": "of_print"})
@@ -242,15 +289,15 @@ def _breaks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
 
 
-def dedup(docs: DataFrame, runs: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, runs: bool = True) -> DataFrame:
     """doc_id, text without repeated passages, n_lines and n_removed of every row of ``docs`` (doc_id, text).
 
-    Without ``runs`` only whole chunks go, as in ORACLE; with it all of ``repeated_runs`` too.
+    Without ``runs`` only whole chunks go; with it all of ``repeated_runs`` too.
     A null text stays null with no lines; an empty text has one empty line. A text that
     loses every line becomes empty. Rows equal in doc_id and text count as one
     occurrence and share their result.
     """
-    return (_stripped_of_runs if runs else _stripped)(docs.select("doc_id", "text")).select(
+    return _stripped(docs.select("doc_id", "text"), runs).select(
         "row.doc_id", "text",
         F.coalesce(_breaks(F.col("row.text")), F.lit(0)).cast("bigint").alias("n_lines"),
         F.col("n_lost").cast("bigint").alias("n_removed"),
@@ -262,7 +309,7 @@ def strip(docs: DataFrame) -> DataFrame:
 
     A document that loses every word is left out: an earlier one holds all it said.
     """
-    left = _stripped_of_runs(docs).where(F.col("gone").isNull() | F.col("text").rlike(WORD))
+    left = _stripped(docs, True).where(F.col("gone").isNull() | F.col("text").rlike(WORD))
     columns = []
     for c in docs.columns:
         if c == "text":
@@ -272,49 +319,3 @@ def strip(docs: DataFrame) -> DataFrame:
         else:
             columns.append(F.col("row").getField(c).alias(c))
     return left.select(*columns)
-
-
-ORACLE = r"""
-WITH lines AS (
-  SELECT doc_id, i - 1 AS pos, string_split(text, chr(10))[i] AS line, len(string_split(text, chr(10))) AS n
-  FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i)
-),
-hashed AS (
-  SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM lines
-),
-ended AS (
-  SELECT *, (coalesce(lag(h) OVER d, 0) * 31 + h) % 2 = 0 AS ends, lag(w) OVER d AS pw FROM hashed
-  WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
-),
-begun AS (
-  SELECT *, CASE WHEN pos = 0 OR w >= 50 OR pw >= 50 OR lag(ends) OVER d THEN 1 ELSE 0 END AS b FROM ended
-  WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
-),
-numbered AS (
-  SELECT *, CAST(sum(b) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) - 1 AS idx FROM begun
-),
-chunks AS (
-  SELECT doc_id, idx, string_agg(line, chr(10) ORDER BY pos) AS chunk, count(*) AS breaks,
-         count(*) FILTER (WHERE w > 0) AS n, sum(w) AS words
-  FROM numbered GROUP BY doc_id, idx
-),
-marked AS (
-  SELECT *, row_number() OVER (PARTITION BY chunk, breaks ORDER BY doc_id, idx) > 1 AS again FROM chunks
-),
-islands AS (
-  SELECT *, idx - row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS run FROM marked WHERE again
-),
-gone AS (
-  SELECT doc_id, idx FROM islands
-  WINDOW p AS (PARTITION BY doc_id, run)
-  QUALIFY (sum(n) OVER p >= 2 AND sum(words) OVER p >= 20) OR sum(words) OVER p >= 50
-),
-result AS (
-  SELECT chunks.doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY chunks.idx) FILTER (WHERE gone.idx IS NULL), '') AS text,
-         CAST(sum(breaks) AS BIGINT) AS n_lines, CAST(coalesce(sum(breaks) FILTER (WHERE gone.idx IS NOT NULL), 0) AS BIGINT) AS n_removed
-  FROM chunks LEFT JOIN gone ON chunks.doc_id = gone.doc_id AND chunks.idx = gone.idx GROUP BY chunks.doc_id
-)
-SELECT documents.doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE result.text END AS text,
-       coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
-FROM documents LEFT JOIN result ON documents.doc_id = result.doc_id
-"""

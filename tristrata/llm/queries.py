@@ -107,9 +107,6 @@ def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents"))
 
 
-ORACLES["op7_linededup"] = linededup.ORACLE
-
-
 @register
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants: every frequent word with the form it is probably meant to have."""
