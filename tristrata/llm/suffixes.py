@@ -170,6 +170,25 @@ def sieve_keys(docs: DataFrame, shape: Shape) -> DataFrame:
     return found.where("key <> 0").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
 
 
+#: Turns of a key's bits that give the places it is marked at: few texts are kept by chance.
+TURNS = (0, 17, 31, 47)
+
+
+def _turned(keys: DataFrame) -> DataFrame:
+    turn = lambda n: F.shiftleft("key", n).bitwiseOR(F.shiftrightunsigned("key", 64 - n)) if n else F.col("key")
+    return keys.select(F.explode(F.array(*[turn(n) for n in TURNS])).alias("key"))
+
+
+def _likely(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each key is marked at all its places: true for every key that was."""
+    bare = key.view(np.uint64)
+    out = np.ones(len(key), dtype=bool)
+    for n in TURNS:
+        turned = (bare << np.uint64(n)) | (bare >> np.uint64(64 - n)) if n else bare
+        out[out] = _marked(bits, turned[out].view(np.int64)).to_numpy(zero_copy_only=False)
+    return out
+
+
 @dataclass
 class Transform:
     """Suffixes of a shard's phrase sequences in order, without their texts."""
@@ -304,7 +323,7 @@ def shard_table(docs: DataFrame, shape: Shape, bits: np.ndarray) -> DataFrame:
             p = Prints(shape, *textual.raw_bytes(s.column("text")))
             core = core_names(p)
             hit = core != 0
-            hit[hit] = _marked(shared.value, core[hit]).to_numpy(zero_copy_only=False)
+            hit[hit] = _likely(shared.value, core[hit])
             left = np.zeros(s.num_rows, dtype=bool)
             left[np.searchsorted(p.offsets, p.anchors[hit], "right") - 1] = True
             done = s.filter(pa.array(~left))
@@ -394,7 +413,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bytes, strings at the edges of intervals by 96 bits.
     """
     shape = Shape(length)
-    bits = bitmap(sieve_keys(docs, shape))
+    bits = bitmap(_turned(sieve_keys(docs, shape)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     table = materialize(shard_table(docs, shape, bits), "shards")
     shards = table.where("shard is not null")
