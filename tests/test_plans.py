@@ -121,3 +121,34 @@ def test_unread_properties_are_not_computed(spark, make_facts):
     assert "LOG2" not in optimized(few)
     assert "LOG2" not in optimized(stats.agg(F.sum("properties.n_members")))
     assert few.first() == (2000, 2, 0)
+
+
+def test_point_stats_equal_the_array_form(spark, make_facts):
+    import random
+
+    from tristrata.operators.columns import prepare_facts
+    from tristrata.operators.series import dedup_keep_last, point_stats, record_bundles, series_stats
+
+    rng = random.Random(3)
+    rows = [("A", "i", "e", "u", str(1000 + k), str(round(rng.gauss(0, 9), 3))) for k in range(3000)]
+    rows += [("B", "i", "e", "u", str(k), "5") for k in range(1, 40)] + [("C", "i", "e", "u", "7", None), ("C", "i", "e", "u", "8", "0")]
+    rows += [("D", "i", "e", "u", "7", None), ("E", "i", "e", "u", "x", "1"), ("F", "i", "e", "u", "1", "1"), ("F", "i", "e", "u", "2", "2"), ("F", "i", "e", "u", "3", "inf")]
+    points = dedup_keep_last(prepare_facts(make_facts(rows)))
+    near = lambda x: "-" if x is None else round(x, 6)
+    want, got = (
+        {r["Area"]: [near(x) for x in r["properties"]] for r in df.select("Area", "properties").collect()}
+        for df in (series_stats(record_bundles(points)), point_stats(points))
+    )
+    assert got == want and set(got) == {"A", "B", "C", "D", "F"}
+
+
+def test_one_series_of_ten_million_points(spark):
+    from tristrata.operators.series import point_stats
+    from tristrata.schema import SERIES_DIMS
+
+    n = 10_000_000
+    value = F.pmod(F.col("id") * 7919, F.lit(1000)).cast("double")
+    points = spark.range(0, n, 1, 8).select(*[F.lit("x").alias(d) for d in SERIES_DIMS], F.col("id").alias("Year"), value.alias("Value"))
+    p = point_stats(points).first()["properties"]
+    assert (p["n_members"], p["year_min"], p["year_max"], p["zeros"], p["min"], p["max"], p["median"]) == (n, 0, n - 1, n // 1000, 0.0, 999.0, 499.5)
+    assert abs(p["mean"] - 499.5) < 1e-6 and abs(p["variance"] - (1000**2 - 1) / 12) < 1e-3 and 4.3 < p["entropy"] <= 4.3220

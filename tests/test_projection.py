@@ -111,3 +111,23 @@ def test_maps_keep_every_row_unless_asked(spark):
     rows, facts = M.embedding_map(df, F.col(df.columns[0]).cast("string"))
     assert rows.count() == facts["n_used"] == 10_500 and facts["sample_n"] is None
     assert M.embedding_map(df, F.col(df.columns[0]).cast("string"), sample_n=100)[0].count() == 100
+
+
+def test_encoding_is_spread_by_measured_work(spark, tmp_path):
+    from tristrata.functions.vectors import spread
+
+    count = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+    long = F.repeat(F.lit("word "), 20_000)
+    one = spark.range(40).select("id", F.repeat(F.lit("word "), 2000).alias("t")).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    group = spark.read.parquet(str(tmp_path / "one"))
+    cores = spark.sparkContext.defaultParallelism
+    assert count(spread(group, "t")) == cores  # one row group reaches all cores
+    wide = spark.range(0, 4000, 1, 16).select("id", F.repeat(F.lit("word "), 200).alias("t"))
+    assert spread(wide, "t") is wide
+    few = spark.range(10).select("id", F.lit("short").alias("t")).coalesce(1)
+    assert spread(few, "t") is few and spread(few.limit(0), "t").count() == 0
+    mixed = one.select("id", F.when(F.col("id") < 4, long).otherwise(F.col("t")).alias("t"))
+    dealt = spread(mixed, "t")
+    per = dealt.where("id < 4").groupBy(F.spark_partition_id()).count().collect()
+    assert dealt.count() == 40 and max(r[1] for r in per) == 1  # long texts lie apart

@@ -112,6 +112,42 @@ def test_manifest_equals_hashlib(spark, tmp_path):
         content = open(r["path"].replace("file:", ""), "rb").read()
         assert (r["sha256"], r["bytes"]) == (hashlib.sha256(content).hexdigest(), len(content))
         assert r["mtime_utc"].endswith("+00:00")
+        level = [hashlib.sha256(x).hexdigest() for x in content.split(b"\n")[:-1]]
+        assert r["lines"] == len(level)
+        for _ in range(3):
+            level = [hashlib.sha256("".join(level[i : i + 4096]).encode()).hexdigest() for i in range(0, len(level), 4096)]
+        assert [r["tree_sha256"]] == level
+
+
+def test_digest_trees_read_split_files(spark, tmp_path, monkeypatch):
+    """A file read in many splits has the tree of its whole line order; content is not read above the limit."""
+    from tristrata.sources import levels
+
+    monkeypatch.setattr(levels, "FAN_OUT", 8)
+    monkeypatch.setattr(levels, "WHOLE_BYTES", 10)
+    lines = [f"line {i * i}" for i in range(300)]
+    (tmp_path / "part-0.txt").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        row = dataset_manifest(spark, {"t": str(tmp_path)}).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    level = [hashlib.sha256(x.encode()).hexdigest() for x in lines]
+    for _ in range(3):
+        level = [hashlib.sha256("".join(level[i : i + 8]).encode()).hexdigest() for i in range(0, len(level), 8)]
+    assert [row["tree_sha256"]] == level and row["sha256"] is None and row["lines"] == 300
+
+
+def test_level_files_are_cut_by_bytes(spark, tmp_path):
+    from tristrata.sources.levels import write_jsonl_level
+
+    df = spark.range(2000).select(F.col("id"), F.repeat(F.lit("x"), F.when(F.col("id") % 500 == 0, 3000).otherwise(40)).alias("t"))
+    write_jsonl_level(df.coalesce(1), str(tmp_path / "out"), file_bytes=20_000)
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*")]
+    assert max(sizes) <= 20_000 and len(sizes) < 40
+    assert spark.read.json(str(tmp_path / "out")).count() == 2000
+    write_jsonl_level(df.limit(0), str(tmp_path / "none"))
+    assert spark.read.schema("id bigint").json(str(tmp_path / "none")).count() == 0
 
 
 def test_digest_ignores_layout(spark):

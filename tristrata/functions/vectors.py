@@ -86,6 +86,34 @@ class HashedTokens:
         )
 
 
+#: Bytes of text that are worth a task of their own.
+LEAST_BYTES = 64 << 10
+
+
+def spread(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` dealt out by the measured work of encoding ``text_col``, if it lies unevenly.
+
+    One narrow pass sums the bytes of text in each split. With fewer splits than cores, or
+    one that holds more than twice its share, rows are dealt to as many splits as there are
+    cores or splits already, whichever is more; texts longer than a share are dealt apart
+    from the others. An input that is wide and even is left alone.
+    """
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("bigint")
+    splits = df.select(F.spark_partition_id().alias("split"), size.alias("size")).groupBy("split").agg(
+        F.sum("size").alias("size"), F.max("size").alias("longest")
+    )
+    seen = splits.agg(F.count("*").alias("n"), F.sum("size").alias("all"), F.max("size").alias("most"), F.max("longest").alias("longest")).first()
+    wanted = min(max(df.sparkSession.sparkContext.defaultParallelism, seen["n"]), -(-(seen["all"] or 0) // LEAST_BYTES))
+    if wanted <= 1:
+        return df
+    share = seen["all"] / wanted
+    if seen["most"] <= 2 * share:
+        return df
+    if seen["longest"] <= share:
+        return df.repartition(wanted)
+    return df.where(size <= share).repartition(wanted).union(df.where(size > share).repartition(wanted))
+
+
 def embed_text(
     df: DataFrame,
     text_col: str,
@@ -99,11 +127,13 @@ def embed_text(
 
     ``encoder`` is a :class:`HashedTokens` (default) or a factory: it is called once
     per task and returns ``encode(texts) -> 2-D array``, so a model loads once per task;
-    only the text goes through Python. ``partitions`` deals the rows out first, for a
-    table in fewer pieces than there are cores.
+    only the text goes through Python. Rows are dealt out by measured work first (see
+    :func:`spread`), or to so many ``partitions``; 0 leaves them where they are.
     """
     encoder = encoder or HashedTokens()
-    if partitions is not None:
+    if partitions is None:
+        df = spread(df, text_col)
+    elif partitions:
         df = df.repartition(partitions)
     if isinstance(encoder, HashedTokens):
         encoded = df.withColumn(out_col, encoder.column(F.col(text_col)))
@@ -135,6 +165,6 @@ def embed_distinct(
 ) -> DataFrame:
     """As :func:`embed_text`, but each distinct text is encoded once and joined back."""
     vectors = embed_text(
-        df.select(text_col).distinct(), text_col, out_col, encoder, normalize, batch_size
+        df.select(text_col).distinct(), text_col, out_col, encoder, normalize, batch_size, partitions=0
     )
     return df.drop(out_col).join(vectors, text_col, "left")

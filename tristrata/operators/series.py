@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Filters
-from ..functions.arrays import let, point_values, series_properties, variance_of
+from ..functions.arrays import let, not_nan, point_values, series_properties, variance_of
 from ..schema import CODE_DIMS, L3_DIMS, ORDER, SERIES_DIMS
+from ..shared import materialize
+from .quantiles import exact_quantiles
 
 FIRST = "__first__"
 
@@ -107,6 +109,52 @@ def series_stats(bundles: DataFrame, only: Sequence[str] | None = None) -> DataF
     return filled.withColumn("properties", series_properties(F.col("data"), F.col("__values"), only)).drop("__values")
 
 
+def point_stats(points: DataFrame) -> DataFrame:
+    """Series with their property struct, from deduplicated rows (series dimensions, Year, Value).
+
+    For series too long for an array in one row: two scalar aggregates (range, counts and
+    mean; then squared deviations and histogram bins) and exact medians by counting. Each
+    combines before it moves, so a single series may hold all rows. Results equal
+    :func:`series_stats` up to the order of sums. ``points`` is read four times: write it
+    first if it is costly.
+    """
+    value = F.when(~F.isnan("Value"), F.col("Value"))
+    rows = points.where("Year is not null").select(*SERIES_DIMS, "Year", "Value", value.alias("v"))
+    seen = F.col("Value").isNotNull()
+    first = rows.groupBy(*SERIES_DIMS).agg(
+        F.min("Year").alias("year_min"), F.max("Year").alias("year_max"), F.count("*").alias("n_members"),
+        F.count_if(F.col("Value") == 0).alias("zeros"), F.count_if(~seen).alias("nulls"), F.min("Value").alias("min"), F.max("Value").alias("max"),
+        F.count("Value").alias("__n"), F.try_divide(F.sum("Value"), F.count("Value")).alias("__mean"),
+    )
+    flat = F.col("min") == F.col("max")
+    low, high = F.when(flat, F.col("min") - 0.5).otherwise(F.col("min")), F.when(flat, F.col("max") + 0.5).otherwise(F.col("max"))
+    bins = F.least(F.lit(20), F.greatest(F.lit(2), F.floor(F.sqrt("__n")).cast("int")))
+    first = materialize(first.select("*", low.alias("__low"), high.alias("__high"), bins.alias("__bins")), "series-ranges")
+    edge = lambda i: i * ((F.col("__high") - F.col("__low")) / F.col("__bins")) + F.col("__low")
+    inner = F.transform(F.sequence(F.lit(1), F.col("__bins") - 1), edge)
+    passed = F.aggregate(inner, F.lit(0), lambda a, e: a + F.when(F.col("Value") >= e, 1).otherwise(0))
+    met = rows.where(seen).join(first.select(*SERIES_DIMS, "__mean", "__low", "__high", "__bins"), SERIES_DIMS)
+    apart = F.col("Value") - F.col("__mean")
+    second = met.groupBy(*SERIES_DIMS, passed.alias("bin")).agg(F.count("*").alias("c"), F.sum(apart * apart).alias("squares"))
+    # At most twenty bins a series.
+    total = F.sum("c") + F.lit(1e-12)
+    binned = second.groupBy(*SERIES_DIMS).agg(
+        F.sum("squares").alias("__squares"), F.collect_list(F.col("c")).alias("__counts"), total.alias("__total")
+    )
+    share = lambda c: c / F.col("__total")
+    entropy = F.aggregate("__counts", F.lit(0.0), lambda a, c: a - share(c) * F.log2(share(c)))
+    medians = exact_quantiles(rows.select(*SERIES_DIMS, "v"), "v", [0.5], SERIES_DIMS).select(*SERIES_DIMS, F.col("q0").alias("median"))
+    divided = (F.abs("min") != float("inf")) & (F.abs("max") != float("inf")) & (F.size(F.array_distinct(F.concat(F.array("__low"), inner, F.array("__high")))) == F.col("__bins") + 1)
+    joined = first.join(binned, SERIES_DIMS, "left").join(medians, SERIES_DIMS, "left")
+    return joined.select(
+        *SERIES_DIMS,
+        F.struct(
+            "year_min", "year_max", "n_members", "zeros", "nulls", "min", "max", not_nan(F.col("__mean")).alias("mean"), "median",
+            not_nan(F.col("__squares") / F.col("__n")).alias("variance"), F.when(divided, entropy).alias("entropy"),
+        ).alias("properties"),
+    )
+
+
 def enough_points(n_members: Column, k: int) -> Column:
     return n_members >= int(k)
 

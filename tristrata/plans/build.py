@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import asdict, dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +61,8 @@ def _with_embeddings(df: DataFrame, spec: EmbeddingSpec, level: str, encoder) ->
         return df
     text = df.withColumn("__text", F.col("description.string"))
     # Few domains share few texts; series descriptions are unique by construction.
-    add = embed_distinct if level == "l3" else embed_text
+    # They come out of an exchange, so they are spread already.
+    add = embed_distinct if level == "l3" else partial(embed_text, partitions=0)
     encoded = add(text, "__text", "__vec", encoder, spec.l2_normalize, spec.batch_size)
     return encoded.withColumns({
         "description": F.struct(

@@ -9,20 +9,38 @@ from ..functions.text import WHITESPACE
 from ..schema import LEVEL_SCHEMAS, ORDER
 from ..shared import materialize
 
-MAX_ROWS_PER_FILE = 2_000_000
-
-
-def write_jsonl_level(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+#: Most bytes of a part file of a level (a line that is longer has a file to itself).
+FILE_BYTES = 512 << 20
+#: A line of so many mean lengths is written apart, so that it does not shrink all files.
+LONG_LINE = 4
+#: Children of a node of a file's digest tree, and levels above the lines.
+FAN_OUT = 4096
+LEVELS_ABOVE = 3
+#: Files of more bytes than this have a digest tree, but no checksum of their content in one piece.
+WHOLE_BYTES = 1 << 30
+
+
+def write_jsonl_level(df: DataFrame, path: str, mode: str = "errorifexists", file_bytes: int = FILE_BYTES) -> str:
     """One nested JSON object per line, null fields kept.
 
-    Rows per file are limited so that no part file outgrows the checksum scan.
+    Files are cut by measured bytes: one pass measures the lines, and the longest of the
+    ordinary ones says how many rows keep a file below ``file_bytes``. Lines of LONG_LINE
+    mean lengths or more are dealt to files of their own rule.
     """
-    (
-        df.write.mode(mode)
-        .option("ignoreNullFields", "false")
-        .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
-        .json(path)
-    )
+    options = {"ignoreNullFields": "false"}
+    size = F.octet_length(F.to_json(F.struct("*"), options)) + 1
+    total = df.select(size.alias("size")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.max("size").alias("longest")).first()
+    if not total["rows"]:
+        df.write.mode(mode).json(path)
+        return path
+    edge = LONG_LINE * total["bytes"] / total["rows"]
+    parts = [(df, total["longest"], mode)]
+    if total["longest"] > edge and total["bytes"] > file_bytes:
+        sized = df.withColumn("__size", size)
+        parts = [(sized.where(F.col("__size") <= edge).drop("__size"), edge, mode), (sized.where(F.col("__size") > edge).drop("__size"), total["longest"], "append")]
+    for part, longest, how in parts:
+        rows = max(1, int(file_bytes // longest))
+        part.write.mode(how).options(**options, maxRecordsPerFile=rows).json(path)
     return path
 
 
@@ -76,35 +94,44 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with their 1-based number over all files in path order.
+def _numbered(raw: DataFrame, per_file: bool) -> DataFrame:
+    """``raw`` (file, block, …) with ``line``: 1-based over all files in path order, or within each file.
 
     Numbering takes one counting pass: rows are numbered inside their split, and the
     splits' starts are running totals over one small row per split.
     """
-    raw = spark.read.text(path).select(
-        F.btrim(F.col("value"), F.lit(WHITESPACE)).alias("value"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    ).filter("value <> ''")
     numbered = raw.withColumn(ORDER, F.monotonically_increasing_id())
-    splits = numbered.groupBy("file", "block").agg(
-        F.count("*").alias("n"), F.min(ORDER).alias("first")
-    )
+    splits = numbered.groupBy("file", "block").agg(F.count("*").alias("n"), F.min(ORDER).alias("first"))
+    over = "partition by file order by block" if per_file else "order by file, block"
     running = splits.selectExpr(
-        "file", "block", "first",
-        "coalesce(sum(n) over (order by file, block "
-        "rows between unbounded preceding and 1 preceding), 0) as before",
+        "file", "block", "first", f"coalesce(sum(n) over ({over} rows between unbounded preceding and 1 preceding), 0) as before"
     )
     # One row per split; written, so that the planner sees how small it is.
-    return numbered.join(materialize(running, "splits"), ["file", "block"]).select(
-        (F.col("before") + F.col(ORDER) - F.col("first") + 1).alias("line"), "value"
+    return numbered.join(materialize(running, "splits"), ["file", "block"]).withColumn(
+        "line", F.col("before") + F.col(ORDER) - F.col("first") + 1
+    ).drop("before", "first", ORDER)
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank lines with their 1-based number over all files in path order."""
+    raw = _text_lines(spark, path).withColumn("value", F.btrim(F.col("value"), F.lit(WHITESPACE))).filter("value <> ''")
+    return _numbered(raw, per_file=False).select("line", "value")
+
+
 def content_digest(df: DataFrame, columns: list[str | Column] | None = None) -> DataFrame:
-    """Row count and order-free digest: equal content in any file layout, equal digest."""
-    row_hash = F.xxhash64(*(columns or [F.to_json(F.struct("*"))]))
+    """Row count and order-free digest: equal content in any file layout, equal digest.
+
+    A row is hashed by the first 60 bits of the md5 of its text: its JSON, or the one text
+    column or several joined by the unit separator that ``columns`` names.
+    """
+    text = F.to_json(F.struct("*")) if columns is None else F.concat_ws("\x1f", *[F.col(c) if isinstance(c, str) else c for c in columns])
+    row_hash = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
     return df.select(row_hash.alias("h")).agg(
         F.count("*").alias("rows"),
         F.coalesce(F.bit_xor("h"), F.lit(0).cast("bigint")).alias("digest_xor"),
@@ -112,26 +139,45 @@ def content_digest(df: DataFrame, columns: list[str | Column] | None = None) ->
     )
 
 
+def line_trees(spark: SparkSession, path: str) -> DataFrame:
+    """(path, lines, tree_sha256): a digest of each text file's lines in order, as a tree.
+
+    Leaves are SHA-256 of the lines; a node is SHA-256 of the hexadecimal digests of up to
+    FAN_OUT children run together, LEVELS_ABOVE times. Nodes are small whatever the file's
+    size, so no file has to fit a row. A file without lines has no row.
+    """
+    rows = _numbered(_text_lines(spark, path), per_file=True)
+    nodes = rows.select("file", (F.col("line") - 1).alias("at"), F.sha2("value", 256).alias("digest"), F.lit(1).cast("bigint").alias("lines"))
+    for _ in range(LEVELS_ABOVE):
+        children = F.array_sort(F.collect_list(F.struct("at", "digest")))
+        nodes = nodes.groupBy("file", F.floor(F.col("at") / FAN_OUT).alias("at")).agg(
+            F.sha2(F.array_join(F.transform(children, lambda c: c.digest), ""), 256).alias("digest"), F.sum("lines").alias("lines")
+        )
+    return nodes.select(F.col("file").alias("path"), "lines", F.col("digest").alias("tree_sha256"))
+
+
 def dataset_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Name, path, sha256, bytes and modification time of every part file of each artefact.
+    """artefact, path, sha256, bytes, mtime_utc, lines and tree_sha256 of every part file of text artefacts.
 
-    Part files are limited in rows when written, so each fits the scan's 2 GB limit.
+    ``tree_sha256`` (see :func:`line_trees`) has no limit of size; ``sha256``, the checksum
+    of the bytes in one piece, is null for files over WHOLE_BYTES, whose content is not read
+    for it.
     """
     out = None
     for name, path in sorted(paths.items()):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+        small = listed.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"))
         files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "part-*")
-            .load(path)
-            .select(
-                F.lit(name).alias("artefact"),
+            listed.select(
                 "path",
-                F.sha2("content", 256).alias("sha256"),
                 F.col("length").alias("bytes"),
-                F.date_format(
-                    F.to_utc_timestamp("modificationTime", F.current_timezone()),
-                    "yyyy-MM-dd'T'HH:mm:ss'+00:00'",
-                ).alias("mtime_utc"),
+                F.date_format(F.to_utc_timestamp("modificationTime", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("mtime_utc"),
+            )
+            .join(small, "path", "left")
+            .join(line_trees(spark, path), "path", "left")
+            .select(
+                F.lit(name).alias("artefact"), "path", "sha256", "bytes", "mtime_utc",
+                F.coalesce("lines", F.lit(0).cast("bigint")).alias("lines"), "tree_sha256",
             )
         )
         out = files if out is None else out.unionByName(files)
