@@ -15,6 +15,7 @@ from tristrata.sources import levels as L
 from tristrata.sources import tables as S
 
 from . import fixtures as X
+from .lookup import POINTS_TEXT, points_text
 from .registry import big, query
 
 DIMS = ", ".join(SERIES_DIMS)
@@ -124,19 +125,45 @@ def write_csv(spark, sf_dir):
     )
 
 
-@query()
+def tree_sql(lines: str) -> str:
+    """The digest tree of ``lines`` (artefact, pos, line), pos from 0: three levels of up to 4096 children."""
+    nodes = [f"l0 AS (SELECT artefact, pos, sha256(line) AS digest, strlen(line) + 1 AS bytes, 1 AS lines FROM ({lines}))"]
+    nodes += [
+        f"l{k} AS (SELECT artefact, pos // 4096 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest, sum(bytes) AS bytes, sum(lines) AS lines "
+        f"FROM l{k - 1} GROUP BY artefact, pos // 4096)" for k in (1, 2, 3)
+    ]
+    return "WITH " + ",\n".join(nodes) + "\nSELECT artefact, CAST(lines AS BIGINT) AS lines, CAST(bytes AS BIGINT) AS bytes, digest AS tree_sha256 FROM l3"
+
+
+ORDER_LINE = "CAST(o_orderkey AS VARCHAR) || '|' || o_orderpriority || '|' || CAST(o_custkey AS VARCHAR)"
+NATION_LINE = "CAST(n_nationkey AS VARCHAR) || '|' || n_name"
+
+
+@query(tree_sql(f"""
+SELECT 'orders' AS artefact, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, {ORDER_LINE} AS line FROM orders
+UNION ALL SELECT 'nations', row_number() OVER (ORDER BY n_nationkey) - 1, {NATION_LINE} FROM nation
+"""), base=False)
 def dataset_manifest(spark, sf_dir):
-    built = X.catalogue(spark, sf_dir, stage=True)
-    paths = {
-        level: L.write_jsonl_level(getattr(built, level), scratch_path(spark, f"{level}-jsonl"))
-        for level in ("l3", "l2", "l1")
-    }
-    return L.dataset_manifest(spark, paths)
+    """Two text artefacts of one file each: lines, bytes and the tree over their lines in order."""
+    paths = {}
+    for name, table, key, line in (("orders", "orders", "o_orderkey", ORDER_LINE), ("nations", "nation", "n_nationkey", NATION_LINE)):
+        paths[name] = scratch_path(spark, name)
+        rows = X.table(spark, sf_dir, table).select(key, F.expr(line.replace("VARCHAR", "STRING")).alias("value"))
+        rows.repartition(1).sortWithinPartitions(key).select("value").write.text(paths[name])
+    return L.dataset_manifest(spark, paths).select("artefact", "lines", "bytes", "tree_sha256")
 
 
-@query()
+DIGEST = f"series_key || ':' || {POINTS_TEXT.format('data')}"
+
+
+@query(f"""
+, hashed AS (SELECT CAST('0x' || substr(md5({DIGEST}), 1, 15) AS BIGINT) AS h FROM series)
+SELECT count(*) AS "rows", bit_xor(h) AS digest_xor, CAST(sum(h % 2147483648) AS BIGINT) AS digest_sum FROM hashed
+""")
 def content_digest(spark, sf_dir):
-    return L.content_digest(X.catalogue(spark, sf_dir).l1)
+    """Digest of every bundle, whatever files or partitions it lies in."""
+    text = F.concat(F.col("identity.series_key"), F.lit(":"), points_text("data"))
+    return L.content_digest(X.catalogue(spark, sf_dir).l1, [text])
 
 
 @query("""

@@ -16,7 +16,7 @@ from tristrata.operators import sampling as A
 from tristrata.schema import L2_DIMS, L3_DIMS
 
 from . import fixtures as X
-from .registry import big, query
+from .registry import big, query, sig, sql_sig
 
 # A series present at every scale.
 KNOWN = {
@@ -246,15 +246,28 @@ def series_cards(spark, sf_dir):
     )
 
 
-@query("""
+def edges_sql(n: str) -> str:
+    """Both edges of bin j, as ten significant digits."""
+    step = f"((e_hi - e_lo) / {n})"
+    return (
+        sql_sig(f"CASE WHEN j = 0 THEN e_lo ELSE e_lo + j * {step} END", 10) + " AS lower, "
+        + sql_sig(f"CASE WHEN j + 1 = {n} THEN e_hi ELSE e_lo + (j + 1) * {step} END", 10) + " AS upper"
+    )
+
+
+def _bins(rows):
+    return rows.select("series_key", big("bin").alias("bin"), big("count").alias("count"), sig(F.col("lower"), 10).alias("lower"), sig(F.col("upper"), 10).alias("upper"))
+
+
+@query(f"""
 SELECT series_key, CAST(j AS BIGINT) AS bin, CAST(len(list_filter(vals, lambda v:
-   len(list_filter(range(1, 20), lambda i: v >= e_lo + i * ((e_hi - e_lo) / 20))) = j)) AS BIGINT) AS "count"
+   len(list_filter(range(1, 20), lambda i: v >= e_lo + i * ((e_hi - e_lo) / 20))) = j)) AS BIGINT) AS "count",
+   {edges_sql("20")}
 FROM (SELECT *, unnest(range(0, 20)) AS j FROM series WHERE nv > 0)
 """)
 def value_histogram(spark, sf_dir):
-    """Twenty bins of every series, empty ones included."""
-    rows = H.value_histogram(X.stored_catalogue(spark, sf_dir).l1)
-    return rows.select("series_key", big("bin").alias("bin"), big("count").alias("count"))
+    """Twenty bins of every series with their edges, empty ones included."""
+    return _bins(H.value_histogram(X.stored_catalogue(spark, sf_dir).l1))
 
 
 AUTO = f"""
@@ -266,12 +279,12 @@ widths AS (SELECT *,
 bw AS (SELECT *, least(greatest(2.0 * r * pow(n, -1.0 / 3.0), spread / sqrt(n) / 2), spread / (log2(n) + 1.0)) AS w FROM widths),
 nbins AS (SELECT *, CASE WHEN w > 0 THEN CAST(ceil(spread / w) AS BIGINT) ELSE 1 END AS nb FROM bw)
 SELECT series_key, CAST(j AS BIGINT) AS bin, CAST(len(list_filter(v, lambda x:
-   len(list_filter(range(1, nb), lambda i: x >= e_lo + i * ((e_hi - e_lo) / nb))) = j)) AS BIGINT) AS "count"
+   len(list_filter(range(1, nb), lambda i: x >= e_lo + i * ((e_hi - e_lo) / nb))) = j)) AS BIGINT) AS "count",
+   {edges_sql("nb")}
 FROM (SELECT *, unnest(range(0, nb)) AS j FROM nbins)
 """
 
 
 @query(AUTO)
 def value_histogram_auto(spark, sf_dir):
-    rows = H.value_histogram_auto(X.stored_catalogue(spark, sf_dir).l1)
-    return rows.select("series_key", big("bin").alias("bin"), big("count").alias("count"))
+    return _bins(H.value_histogram_auto(X.stored_catalogue(spark, sf_dir).l1))

@@ -18,18 +18,36 @@ from .profile import NUMERIC
 from .registry import big, query, sig, sql_sig
 
 
+PROPERTY_TEXT = "concat_ws(',', year_min, year_max, n_members, zeros, nulls, CAST(round(lo * 100) AS BIGINT), CAST(round(hi * 100) AS BIGINT), CAST(round(median * 100) AS BIGINT))"
+
+
 @query(f"""
-SELECT 'l3' AS level, domain_key AS key, description AS content FROM domains
-UNION ALL SELECT 'l2', series_key, description FROM series
-UNION ALL SELECT 'l1', series_key, {POINTS_TEXT.format('data')} FROM series
+SELECT 'l3' AS level, domain_key AS key, description AS content,
+       concat_ws('|', 'Domain=' || Domain, 'Domain_table=' || Domain_table, 'Sub_domain=' || Sub_domain) AS dims, '' AS properties, '-,0,v_0_1_0' AS meta FROM domains
+UNION ALL SELECT 'l2', series_key, description, concat_ws('|', 'Area=' || Area, 'Element=' || Element, 'Item=' || Item, 'Unit=' || Unit),
+       {PROPERTY_TEXT}, '-,0,v_0_1_0' FROM series
+UNION ALL SELECT 'l1', series_key, {POINTS_TEXT.format('data')}, '', '', '' FROM series
 """)
 def build_catalogue(spark, sf_dir):
+    """Every field of the three levels: texts, dimensions, properties and embedding facts."""
     c = X.catalogue(spark, sf_dir, stage=True)
-    return (
-        c.l3.select(F.lit("l3").alias("level"), F.col("identity.domain_key").alias("key"), F.col("description.string").alias("content"))
-        .unionByName(c.l2.select(F.lit("l2").alias("level"), F.col("identity.series_key").alias("key"), F.col("description.string").alias("content")))
-        .unionByName(c.l1.select(F.lit("l1").alias("level"), F.col("identity.series_key").alias("key"), points_text("data").alias("content")))
+    dims = F.array_join(F.transform(F.array_sort(F.map_entries("dims")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    facts = F.concat_ws(",", F.coalesce("embedding_meta.embedding_model", F.lit("-")), F.col("embedding_meta.embedding_dim").cast("string"), "embedding_meta.schema_version")
+    p = F.col("properties")
+    whole = [p[x].cast("string") for x in ("year_min", "year_max", "n_members", "zeros", "nulls")]
+    cents = [F.round(p[x] * 100).cast("bigint").cast("string") for x in ("min", "max", "median")]
+    parts = (
+        (c.l3, "l3", "identity.domain_key", F.col("description.string"), dims, F.lit(""), facts),
+        (c.l2, "l2", "identity.series_key", F.col("description.string"), dims, F.concat_ws(",", *whole, *cents), facts),
+        (c.l1, "l1", "identity.series_key", points_text("data"), F.lit(""), F.lit(""), F.lit("")),
     )
+    out = None
+    for df, level, key, content, dims, properties, meta in parts:
+        part = df.select(
+            F.lit(level).alias("level"), F.col(key).alias("key"), content.alias("content"), dims.alias("dims"), properties.alias("properties"), meta.alias("meta")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("""

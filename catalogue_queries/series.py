@@ -9,9 +9,10 @@ from tristrata.functions import text as K
 from tristrata.operators import columns as C
 from tristrata.operators import series as S
 from tristrata.schema import L2_DIMS, L3_DIMS, PROPERTIES, SERIES_DIMS
+from tristrata.shared import materialize
 
 from . import fixtures as X
-from .registry import query
+from .registry import query, sig, sql_sig
 
 DIMS = ", ".join(SERIES_DIMS)
 CLEAN_DIMS = DIMS.replace("Unit", "coalesce(Unit, '') AS Unit")
@@ -99,19 +100,30 @@ def first_codes(spark, sf_dir):
 
 @query(f"""
 SELECT {DIMS}, len(data) AS n,
-       array_to_string(list_transform(data, lambda p: CAST(p.Year AS VARCHAR)), ',') AS years,
-       list_sum(list_transform(data, lambda p: coalesce(p.Value, -1.0))) AS value_sum
+       array_to_string(list_transform(data, lambda p: CAST(p.Year AS VARCHAR) || ':' ||
+         coalesce(CAST(CAST(round(p.Value * 100) AS BIGINT) AS VARCHAR), '-')), ',') AS points
 FROM bundles
 """)
 def record_bundles(spark, sf_dir):
     return bundles(spark, sf_dir).select(
         *SERIES_DIMS,
         F.size("data").cast("bigint").alias("n"),
-        F.array_join(F.transform("data", lambda p: p["Year"].cast("string")), ",").alias("years"),
-        F.aggregate("data", F.lit(0.0), lambda a, p: a + F.coalesce(p["Value"], F.lit(-1.0))).alias("value_sum"),
+        F.array_join(
+            F.transform("data", lambda p: F.concat(p["Year"].cast("string"), F.lit(":"), F.coalesce(F.round(p["Value"] * 100).cast("bigint").cast("string"), F.lit("-")))), ","
+        ).alias("points"),
     )
 
 
+SUMS = ("mean", "median", "variance")
+
+
+@query(f"SELECT {DIMS}, {STATS.replace('mean, median, variance', ', '.join(f'{sql_sig(c, 7)} AS {c}' for c in SUMS))} FROM series")
+def point_stats(spark, sf_dir):
+    """Statistics straight from the points, as for series too long for one row; sums have another order."""
+    points = materialize(S.dedup_keep_last(prepared(spark, sf_dir)), "points")
+    return flat_properties(S.point_stats(points), *SERIES_DIMS).withColumns({c: sig(F.col(c), 7) for c in SUMS})
+
+
 @query("""
 SELECT (SELECT count(*) FROM domains) AS domains, (SELECT count(*) FROM series) AS series,
        (SELECT CAST(sum(n_members) AS BIGINT) FROM series) AS records

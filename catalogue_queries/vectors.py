@@ -56,8 +56,8 @@ def _nonzero(df):
 def embed_text(spark, sf_dir):
     """Default encoder over whole documents."""
     docs = X.table(spark, sf_dir, "documents").select("doc_id", "text")
-    # The table is one row group: dealt out, its texts are encoded on all cores.
-    return _nonzero(V.embed_text(docs, "text", "vec", partitions=spark.sparkContext.defaultParallelism))
+    # The table may be one row group: its texts are dealt to all cores by measured work.
+    return _nonzero(V.embed_text(docs, "text", "vec"))
 
 
 @query(HASHED.format(text="lang || ' ' || source"), base=False)
@@ -126,19 +126,62 @@ def embedding_dim_check(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query()
+SQUARINGS = 14
+
+
+def pca_sql(select: str) -> str:
+    """Both axes from the covariance as a relation: repeated squaring is power iteration.
+
+    A matrix squared again and again, at trace one, tends to the projector on its first
+    axis; without that axis the same gives the second.
+    """
+    steps = []
+
+    def axis(cov: str, name: str) -> None:
+        steps.append(f"{name}0 AS (SELECT i, j, v / (SELECT sum(v) FROM {cov} WHERE i = j) AS v FROM {cov})")
+        for k in range(SQUARINGS):
+            steps.append(f"{name}s{k} AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {name}{k} a JOIN {name}{k} b ON a.j = b.i GROUP BY ALL)")
+            steps.append(f"{name}{k + 1} AS (SELECT i, j, v / (SELECT sum(v) FROM {name}s{k} WHERE i = j) AS v FROM {name}s{k})")
+        last = f"{name}{SQUARINGS}"
+        steps.append(f"{name}top AS (SELECT i, v FROM {last} WHERE i = j ORDER BY v DESC, i LIMIT 1)")
+        steps.append(f"{name}raw AS (SELECT p.i, p.v / sqrt(t.v) AS v FROM {last} p JOIN {name}top t ON p.j = t.i)")
+        steps.append(f"{name} AS (SELECT i, v * (SELECT sign(v) FROM {name}raw ORDER BY abs(v) DESC, i LIMIT 1) AS v FROM {name}raw)")
+
+    axis("cov", "one")
+    steps.append("strength AS (SELECT sum(a.v * c.v * b.v) AS v FROM cov c JOIN one a ON a.i = c.i JOIN one b ON b.i = c.j)")
+    steps.append("rest AS (SELECT c.i, c.j, c.v - (SELECT v FROM strength) * a.v * b.v AS v FROM cov c JOIN one a ON a.i = c.i JOIN one b ON b.i = c.j)")
+    axis("rest", "two")
+    chain = ",\n".join(step if " AS MATERIALIZED" in step else step.replace(" AS (", " AS MATERIALIZED (", 1) for step in steps)
+    return f"""
+WITH x AS (SELECT vec_id, label, unnest(range(1, len(embedding) + 1)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+m AS (SELECT i, avg(v) AS v FROM x GROUP BY i),
+c AS MATERIALIZED (SELECT vec_id, label, i, x.v - m.v AS v FROM x JOIN m USING (i)),
+cov AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM c a JOIN c b USING (vec_id) GROUP BY ALL),
+{chain},
+placed AS (SELECT vec_id, label, sum(c.v * one.v) AS a, sum(c.v * two.v) AS b FROM c JOIN one USING (i) JOIN two USING (i) GROUP BY ALL)
+{select}
+"""
+
+
+PLACED = "round(CAST(CAST(a AS FLOAT) AS DOUBLE), 4) AS dim_1, round(CAST(CAST(b AS FLOAT) AS DOUBLE), 4) AS dim_2"
+
+
+def _coordinates():
+    return [F.round(F.col(f"`{a}`").cast("double"), 4).alias(a.replace(" ", "_").lower()) for a in M.AXES]
+
+
+@query(pca_sql(f"SELECT vec_id, label, {PLACED} FROM placed"), base=False)
 def pca_2d(spark, sf_dir):
-    rows = M.pca_2d(X.table(spark, sf_dir, "embeddings")).rows
-    return rows.select("vec_id", "label", *[F.round(f"`{a}`".strip(), 4).alias(a.replace(" ", "_").lower()) for a in M.AXES])
+    return M.pca_2d(X.table(spark, sf_dir, "embeddings")).rows.select("vec_id", "label", *_coordinates())
 
 
-@query()
+@query(pca_sql(f"SELECT CASE WHEN label % 2 = 0 THEN 'even' ELSE 'odd' END AS side, vec_id, {PLACED} FROM placed"), base=False)
 def pca_2d_joint(spark, sf_dir):
     """One fit over even and odd labels, split back."""
     e = X.table(spark, sf_dir, "embeddings")
     a, b = M.pca_2d_joint(e.filter("label % 2 = 0"), e.filter("label % 2 = 1"), "vec_id", "vec_id")
     both = a.withColumn("side", F.lit("even")).unionByName(b.withColumn("side", F.lit("odd")))
-    return both.select("side", "vec_id", *[F.round(f"`{x}`", 4).alias(x.replace(" ", "_").lower()) for x in M.AXES])
+    return both.select("side", "vec_id", *_coordinates())
 
 
 @query("""

@@ -216,13 +216,14 @@ def bitmap(keys: DataFrame) -> np.ndarray:
     width = 1 << (BITMAP_BITS - 8)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
         for batch in batches:
-            cell = np.unique(_cell_of(batch.column("key").to_numpy()))
-            part = cell // width
-            for k in np.unique(part):
-                bits = np.zeros(width, dtype=bool)
-                bits[cell[part == k] % width] = True
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["part", "bits"])
+            cell = _cell_of(batch.column("key").to_numpy())
+            np.bitwise_or.at(bits, cell >> 3, (128 >> (cell & 7)).astype(np.uint8))
+        # A row for each part of the bitmap that the task marked.
+        for k, part in enumerate(bits.reshape(256, -1)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["part", "bits"])
 
     def join(table: pa.Table) -> pa.Table:
         bits = np.zeros(width // 8, dtype=np.uint8)
