@@ -86,3 +86,16 @@ def test_empty_table(spark):
     assert urls.judge(spark.createDataFrame([], PAGES)).count() == 0
     alone = urls.judge(spark.createDataFrame([(1, "http://x.net/", None, None, None)], PAGES)).collect()
     assert [(r.rule, r.verdict) for r in alone] == [(None, "allow")]
+
+
+def test_a_template_of_thirty_constant_parts(spark):
+    """Parts that always come together are one item, whatever their number."""
+    import time
+
+    fixed = [f"p:part{i}" for i in range(30)]
+    rows = [([*fixed, f"p:own{i}"], "block") for i in range(60)] + [([f"p:other{i}", "p:other"], "allow") for i in range(60)]
+    began = time.monotonic()
+    mined = urls.mine_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string"), support=0.1, confidence=0.9).collect()
+    assert time.monotonic() - began < 60
+    assert sorted(r.antecedent for r in mined if r.verdict == "block") == sorted([t] for t in fixed)
+    assert [r.antecedent for r in mined if r.verdict == "allow"] == [["p:other"]]

@@ -3,7 +3,8 @@
 A test item may occur with up to ``rate`` of its bytes edited. Cut into one piece more
 than that budget, at least one piece must occur unchanged. An automaton of all pieces
 finds their exact hits; the stretch of text around a hit is then searched with Myers'
-bit-parallel algorithm. Texts and items are compared in lower case with runs of anything
+bit-parallel algorithm. A short item has no room for edits: it must stand as it is between
+word borders. Texts and items are compared in lower case with runs of anything
 but letters and digits as one space; distances count bytes.
 """
 
@@ -17,11 +18,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textual
 
 RATE = 0.08
-#: A shorter item proves nothing as part of a text: it matches only a text equal to it.
+#: A shorter item occurs unchanged and as whole words, or not at all.
 SHORT_ITEM = 24
 #: A block of items ends at so many items or bytes; its index takes some tens of bytes per byte.
 BLOCK_ITEMS = 20_000
@@ -88,30 +90,36 @@ class Items:
         for number, text in items:
             if text:
                 self.texts.setdefault(text, []).append(number)
-        self.whole = {t: n for t, n in self.texts.items() if len(t) < SHORT_ITEM}
+        short = [t for t in self.texts if len(t) < SHORT_ITEM]
         self.long = [(t, int(len(t) * rate), masks(t)) for t in self.texts if len(t) >= SHORT_ITEM]
         pieces: dict[str, list[tuple[int, int]]] = {}
         for k, (text, budget, _) in enumerate(self.long):
             cuts = [len(text) * i // (budget + 1) for i in range(budget + 2)]
             for a, b in zip(cuts, cuts[1:]):
                 pieces.setdefault(text[a:b], []).append((k, a))
+        # A short item with its borders; texts are searched with a space at either end.
+        words = {f" {t} ": t for t in short}
         self.automaton = ahocorasick.Automaton()
-        for piece, where in pieces.items():
-            self.automaton.add_word(piece, (len(piece), where))
-        if pieces:
+        for piece in pieces.keys() | words.keys():
+            self.automaton.add_word(piece, (len(piece), pieces.get(piece, []), words.get(piece)))
+        self.some = bool(pieces or words)
+        if self.some:
             self.automaton.make_automaton()
-        self.some = bool(pieces)
 
     def matches(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, distance, end) of every item within its budget."""
-        out = [(number, 0, len(text)) for number in self.whole.get(text, ())]
+        out = []
         spans: dict[int, list[tuple[int, int]]] = {}
         if self.some:
-            for last, (size, where) in self.automaton.iter(text):
+            ends: dict[str, int] = {}
+            for last, (size, where, word) in self.automaton.iter(f" {text} "):
+                if word is not None:
+                    ends.setdefault(word, last - 1)
                 for k, offset in where:
                     item, budget, _ = self.long[k]
-                    begin = last + 1 - size - offset
+                    begin = last - size - offset
                     spans.setdefault(k, []).append((max(0, begin - budget), begin + len(item) + budget))
+            out += [(number, 0, end) for word, end in ends.items() for number in self.texts[word]]
         for k, found in spans.items():
             item, budget, mask = self.long[k]
             found.sort()
@@ -164,7 +172,9 @@ def match(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     spark = docs.sparkSession
     wanted = docs.select("doc_id", "text")
     kind = wanted.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id bigint, distance int, end bigint"
+    item_kind = items.schema["item_id"].dataType
+    item_type = to_arrow_type(item_kind)
+    schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, distance int, end bigint"
     out = spark.createDataFrame([], schema)
     for block in blocks_of(items):
         shared = spark.sparkContext.broadcast(block)  # at most BLOCK_ITEMS items and BLOCK_BYTES
@@ -176,7 +186,7 @@ def match(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
                 if rows:
                     row, item, distance, end = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
-                        [s.column("doc_id").take(pa.array(row)), pa.array(item, pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int64())],
+                        [s.column("doc_id").take(pa.array(row)), pa.array(item, item_type), pa.array(distance, pa.int32()), pa.array(end, pa.int64())],
                         ["doc_id", "item_id", "distance", "end"],
                     )
 
