@@ -7,7 +7,7 @@
 3. Classes that share a shingle among the first n - ceil(t n) + 1 of their order are
    candidates; size and position bounds drop those that cannot reach the threshold. Few
    classes around a shingle are all paired. Many are first paired with the one of least
-   position; after linking, pairs across different components follow, so no pair that
+   name, mostly the same in all groups of a cluster; after linking, pairs across different components follow, so no pair that
    could join two components is left out.
 4. The global order is cut into fragments of equal weight. Each fragment counts the
    partial overlap of every candidate pair, and the counts are summed per pair.
@@ -160,9 +160,13 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def pair_bucket(table: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """First candidate pairs of a bucket, leader first, and the entries of the large groups."""
+    """First candidate pairs of a bucket, leader first, and the entries of the large groups.
+
+    The leader of a group is its least name: the groups of a cluster mostly agree on it, so
+    a class is paired with few leaders and not with one for each of its shingles.
+    """
     e = np.concatenate([np.frombuffer(x, dtype=ENTRY) for x in table.column("entries").to_pylist()])
-    e = e[np.lexsort((e["n"], e["name"], e["place"], e["at"]))]
+    e = e[np.lexsort((e["n"], e["place"], e["name"], e["at"]))]
     same = np.concatenate([[False], (e["at"][1:] == e["at"][:-1]) & (e["name"][1:] == e["name"][:-1])])
     e = e[~same]
     starts = np.flatnonzero(np.concatenate([[True], e["at"][1:] != e["at"][:-1]]))
