@@ -40,8 +40,8 @@ from .jaccard import _marked, bitmap
 
 LENGTH = 400
 SHARD_BYTES = 1 << 20
-#: What a mark for a shard names: a block of suffixes, a core with unproven starts, a repeated string.
-BLOCK, OPEN, START = 0, 1, 2
+#: What a mark for a shard holds: proven starts from a to b, a core with unproven starts at distances a to b, a repeated string (a: its check).
+PROVEN, OPEN, START = 0, 1, 2
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -439,57 +439,66 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     narrow = shards.select("shard", "core", "interval")
     rounds = narrow.groupBy("shard").cogroup(coarse_blocks.groupBy("shard")).applyInArrow(fine, "name bigint, shard bigint, n bigint")
     blocks = coarse_blocks.union(materialize(_blocks(rounds), "blocks"))
-    open_fields = {"name": pa.int64(), "shard": pa.int64(), "near": pa.int32(), "far": pa.int32()}
+    mark_fields = {"name": pa.int64(), "shard": pa.int64(), "a": pa.int32(), "b": pa.int32(), "kind": pa.int32()}
 
-    def open_cores(row: pa.Table, names: pa.Table) -> pa.Table:
-        """Cores in blocks, with the range of distances at which starts before them are not proven."""
+    def judged(row: pa.Table, names: pa.Table) -> pa.Table:
+        """Proven starts, and the cores in blocks with the distances at which starts before them are not proven (a > b: none)."""
         if not row.num_rows or not names.num_rows:
-            return pa.table({k: pa.array([], t) for k, t in open_fields.items()})
+            return pa.table({k: pa.array([], t) for k, t in mark_fields.items()})
+        number = row.column("shard")[0].as_py()
         held, at, offsets, core = _held(names), _list(row, "at").astype(np.int64), _list(row, "offsets"), _list(row, "core")
         n = int(offsets[-1])
-        sure = _covered(row, held, n, length)
-        places = np.arange(n + 1)
-        ahead = np.minimum.accumulate(np.where(np.append(sure, False), n + 1, places)[::-1])[::-1]
-        behind = np.maximum.accumulate(np.where(np.append(sure, True), -1, places))
+        sure = np.append(_covered(row, held, n, length), False)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], sure.astype(np.int8)])))
+        begins, ends = edges[::2], edges[1::2] - 1
+        ahead = np.minimum.accumulate(np.where(sure, n + 1, np.arange(n + 1))[::-1])[::-1]
+        sure[n] = True
+        behind = np.maximum.accumulate(np.where(sure, -1, np.arange(n + 1)))
         text = np.searchsorted(offsets, at, "right") - 1
         live = np.isin(core, held) & (core != 0)
+        # Starts close before an anchor need more bytes behind it.
+        wide = np.isin(_list(row, "half")[live], held)
         at, text, core = at[live], text[live], core[live]
-        first, last = np.maximum(at - shape.window + 1, offsets[text]), np.minimum(at, offsets[text + 1] - length)
-        some = (last >= first) & (ahead[first] <= last)
-        name, of = np.unique(core[some], return_inverse=True)
-        near, far = np.full(len(name), n), np.full(len(name), -1)
-        np.minimum.at(near, of, (at - behind[last])[some])
-        np.maximum.at(far, of, (at - ahead[first])[some])
-        values = [name, np.full(len(name), row.column("shard")[0].as_py()), near, far]
-        return pa.table({k: pa.array(v, t) for (k, t), v in zip(open_fields.items(), values)})
-
-    places = shards.select("shard", "offsets", "at", "close", "core", "interval")
-    found = places.groupBy("shard").cogroup(blocks.groupBy("shard")).applyInArrow(open_cores, "name bigint, shard bigint, near int, far int")
-    ranges = materialize(found.groupBy("name").agg(F.min("near").alias("a"), F.max("far").alias("b")), "open-cores")
-    # Every shard that has such a core takes part, whether its own starts are proven or not.
-    opened = coarse_blocks.join(ranges, "name").select("shard", "name", "a", "b", F.lit(OPEN).alias("kind"))
-    marks = blocks.select("shard", "name", F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(BLOCK).alias("kind")).union(opened)
+        first, last = np.maximum(at - shape.window + 1, offsets[text]), np.minimum(np.where(wide, at, at - shape.window // 2 - 1), offsets[text + 1] - length)
+        some = (last >= first) & (ahead[np.minimum(first, n)] <= last)
+        name, of = np.unique(core, return_inverse=True)
+        near, far = np.full(len(name), shape.window), np.full(len(name), -1)
+        np.minimum.at(near, of[some], (at - behind[np.maximum(last, 0)])[some])
+        np.maximum.at(far, of[some], (at - ahead[np.minimum(first, n)])[some])
+        count = len(begins) + len(name)
+        values = [
+            np.concatenate([np.zeros(len(begins), np.int64), name]), np.full(count, number), np.concatenate([begins, near]), np.concatenate([ends, far]),
+            np.repeat([PROVEN, OPEN], [len(begins), len(name)]),
+        ]
+        return pa.table({k: pa.array(v, t) for (k, t), v in zip(mark_fields.items(), values)})
+
+    places = shards.select("shard", "offsets", "at", "close", "core", "half", "interval")
+    found = places.groupBy("shard").cogroup(blocks.groupBy("shard")).applyInArrow(judged, "name bigint, shard bigint, a int, b int, kind int")
+    found = materialize(found, "judged")
+    # Every shard that has a core with unproven starts takes part, whether its own are proven or not.
+    same = Window.partitionBy("name")
+    opened = found.where(F.col("kind") == OPEN).withColumns({"near": F.min("a").over(same), "far": F.max("b").over(same)}).where("near <= far")
+    marks = found.where(F.col("kind") == PROVEN).union(opened.select("name", "shard", F.col("near").alias("a"), F.col("far").alias("b"), "kind"))
 
     def edge_starts(row: pa.Table, marks: pa.Table) -> tuple[Prints, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Proven starts, and the starts to be counted with their names."""
         offsets = _list(row, "offsets")
         p = Prints(shape, np.frombuffer(row.column("raw")[0].as_py(), dtype=np.uint8), offsets)
         n = len(p.raw)
-        kinds, held = marks.column("kind").to_numpy(), marks.column("name").to_numpy()
-        known = held[kinds == BLOCK]
-        sure = _covered(row, known, n, length)
-        opened = held[kinds == OPEN]
+        kinds, a, b = (marks.column(c).to_numpy() for c in ("kind", "a", "b"))
+        proven = np.zeros(n + 1, dtype=np.int32)
+        np.add.at(proven, a[kinds == PROVEN], 1)
+        np.add.at(proven, b[kinds == PROVEN] + 1, -1)
+        sure = np.cumsum(proven[:-1]) > 0
+        opened = marks.column("name").to_numpy()[kinds == OPEN]
         order = np.argsort(opened)
-        near, far = (marks.column(c).to_numpy()[kinds == OPEN][order] for c in "ab")
+        near, far = a[kinds == OPEN][order], b[kinds == OPEN][order]
         opened = opened[order]
         core = core_names(p)
         number = np.minimum(np.searchsorted(opened, core), max(len(opened) - 1, 0))
         live = (opened[number] == core) & (core != 0) if len(opened) else np.zeros(len(core), dtype=bool)
         at = p.anchors[live]
         nearest, farthest = (x[number[live]].astype(np.int64) for x in (near, far))
-        half = np.zeros(len(at), dtype=bool)
-        room = p.end[at] - at >= shape.half if len(at) else half
-        half[room] = np.isin(_named("half", p.names(at[room], shape.half)), known)
         # Starts that an open core may belong to, and their anchor: the leftmost least gram of the window.
         some = np.zeros(n + 1, dtype=np.int32)
         np.add.at(some, np.maximum(at - farthest, 0), 1)
@@ -504,7 +513,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         mine = live[anchor]
         start, of = start[mine], place[anchor[mine]]
         distance = at[of] - start
-        keep = (distance >= nearest[of]) & (distance <= farthest[of]) & (half[of] | (distance > shape.window // 2))
+        keep = (distance >= nearest[of]) & (distance <= farthest[of])
         start = start[keep]
         name = p.names(start, length).view(np.int64)
         check = (p.names(start, length, other=True) >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -525,11 +534,11 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         values = [name[new], check[new], np.full(len(first), row.column("shard")[0].as_py()), np.minimum(n, 2).astype(np.int8), asked]
         return pa.table({k: pa.array(v, t) for (k, t), v in zip(fields.items(), values)})
 
-    with_text = shards.select("shard", "docs", "offsets", "raw", "at", "close", "interval").groupBy("shard")
+    with_text = shards.select("shard", "docs", "offsets", "raw").groupBy("shard")
     strings = with_text.cogroup(marks.groupBy("shard")).applyInArrow(emit, "name bigint, check int, shard bigint, n tinyint, asks boolean")
     total = F.sum("n").over(Window.partitionBy("name", "check"))
     twice = strings.withColumn("total", total).where("total > 1 and asks")
-    twice = twice.select("shard", "name", F.col("check").alias("a"), F.lit(0).alias("b"), F.lit(START).alias("kind"))
+    twice = twice.select("name", "shard", F.col("check").alias("a"), F.lit(0).alias("b"), F.lit(START).alias("kind"))
 
     def finish(row: pa.Table, marks: pa.Table) -> pa.Table:
         if not row.num_rows:
