@@ -99,3 +99,11 @@ def test_native_operators_run_no_python():
     for name in ("urls", "linededup"):
         text = (root / f"tristrata/llm/{name}.py").read_text(encoding="utf-8")
         assert not re.search(r"mapIn|applyIn|udf|numpy|pyarrow|collect\(\)|toLocal", text), name
+
+
+def test_run_on_empty_tables(spark, folder, none, tmp_path):
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() == 0

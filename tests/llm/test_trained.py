@@ -135,3 +135,50 @@ def test_language_of_held_out_documents(docs_of, prose, odd, none):
     unknown = language.classify(odd).toPandas()
     assert len(unknown) == len(ODD_TEXTS) and (unknown.lang_pred == "und").all()
     assert language.classify(none).count() == 0
+
+
+def test_toxicity_model_is_the_minimum_of_the_dense_loss(prose):
+    """Loss, counterfactual penalty and gradient written out over dense matrices; the fit satisfies their conditions."""
+    rng = random.Random(5)
+    terms = ("women", "muslims", "men")
+    texts, y = [], []
+    for i in range(200):
+        words = prose("en", 12, i).split()
+        if i % 3 == 0:
+            words[2] = rng.choice(["idiot", "scum"])
+        if rng.random() < 0.4:
+            words[5] = rng.choice(terms)
+        texts.append(" ".join(words))
+        y.append(float(i % 3 == 0 and rng.random() < 0.9))
+    y = np.array(y)
+    of, idx, _ = toxicity.features(pa.array(texts))
+    sparsity, fairness, n = 1e-3, 1.0, len(y)
+    m = toxicity.fit_model(of, idx, y, terms, steps=4000, sparsity=sparsity, fairness=fairness)
+    pair = np.unique(of * (1 << toxicity.BITS) + idx)
+    of, idx = pair >> toxicity.BITS, pair & ((1 << toxicity.BITS) - 1)
+    rows, feats, signs = toxicity.counterfactual_changes(of, idx, n, terms, np.random.default_rng(11))
+    names = np.unique(np.concatenate([idx, feats]))
+    x, d = np.zeros((n, len(names))), np.zeros((n, len(names)))
+    x[of, np.searchsorted(names, idx)] = 1
+    np.add.at(d, (rows, np.searchsorted(names, feats)), signs)
+    w = m.weights[names]
+    s = x @ w + m.bias
+    np.testing.assert_allclose(toxicity.raw_scores(m, pa.array(texts)), s, atol=1e-9)
+    # Features that were left out of the fit as noise have weight 0 and say nothing here.
+    used = w != 0
+    loss = lambda w, b: np.mean(np.logaddexp(0, x @ w + b) - y * (x @ w + b)) + fairness / n * ((d @ w) ** 2).sum() + sparsity * np.abs(w).sum()
+    gradient = x.T @ (1 / (1 + np.exp(-s)) - y) / n + 2 * fairness / n * d.T @ (d @ w)
+    assert used.sum() >= 3 and np.abs(gradient[used] + sparsity * np.sign(w[used])).max() < 2e-5
+    assert abs((1 / (1 + np.exp(-s)) - y).mean()) < 2e-5
+    noise = np.random.default_rng(1)
+    assert all(loss(w + used * noise.normal(size=len(w)) * 0.05, m.bias) > loss(w, m.bias) for _ in range(20))
+
+
+def test_accept_keeps_columns_and_bears_odd_rows(labelled, odd, none):
+    docs, labels = labelled
+    machine = quality.train(docs, labels, ~learning.in_fold(F.col("doc_id"), 5, 0))
+    kept = quality.accept(odd, machine)
+    assert kept.columns == odd.columns and kept.count() <= len(ODD_TEXTS)
+    assert quality.accept(none, machine).count() == 0
+    scores = {(r.doc_id, r.n_chars): r.score for r in quality.score(docs, machine).select("doc_id", "score").join(docs, "doc_id").select("doc_id", "n_chars", "score").collect()}
+    assert {r.doc_id for r in quality.accept(docs, machine).collect()} == {d for (d, _), s in scores.items() if s >= 0.3}
