@@ -132,3 +132,16 @@ def map_l2_l3(spark, sf_dir):
         F.count("*").alias("label_count"), F.count("*").alias("n")
     )
     return series.unionByName(domains)
+
+
+@query("""
+, codes AS (SELECT Domain, Area, Item, Element, coalesce(Unit, '') AS Unit, coalesce(min_by(struct_pack(c := Area_code), ord).c, '') AS code FROM facts GROUP BY ALL),
+coded AS (SELECT series_key, CASE WHEN code = '' THEN '(empty)' ELSE code END AS code FROM series JOIN codes USING (Domain, Area, Item, Element, Unit)),
+ranked AS (SELECT code, row_number() OVER (ORDER BY count(*) DESC, code) AS r FROM coded GROUP BY code)
+SELECT CASE WHEN r <= 12 THEN code ELSE 'Other' END AS label, count(*) AS label_count, count(*) AS n
+FROM coded JOIN ranked USING (code) GROUP BY 1
+""")
+def map_by_code(spark, sf_dir):
+    """The joint map coloured by a code that only some series have."""
+    m = joint_map(X.stored_catalogue(spark, sf_dir, embedded=True), "Area_code")
+    return m.series.groupBy("label", "label_count").agg(F.count("*").alias("n"))

@@ -39,13 +39,16 @@ def with_domain_dims(df: DataFrame, domains: DataFrame) -> DataFrame:
     )
 
 
-def label_series(series: DataFrame, domains: DataFrame) -> DataFrame:
-    """Series with their domain labels; an unknown domain yields empty labels."""
+def label_series(series: DataFrame, domains: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Series with their domain labels; an unknown domain yields empty labels.
+
+    ``extra`` names further series dimensions (codes, say), empty where a series has none.
+    """
     return with_domain_dims(series, domains).select(
         "domain_key",
         F.col("identity.series_key").alias("series_key"),
         *[F.coalesce(_dim(F.col("l3"), d), F.lit("")).alias(d) for d in L3_DIMS],
-        *[F.coalesce(_dim(F.col("dims"), d), F.lit("")).alias(d) for d in L2_DIMS],
+        *[F.coalesce(_dim(F.col("dims"), d), F.lit("")).alias(d) for d in [*L2_DIMS, *extra]],
         F.coalesce("properties.n_members", F.lit(0)).alias("n_members"),
         F.col("description.embedding").alias("embedding"),
     )

@@ -11,7 +11,7 @@ from ..functions.vectors import is_usable
 from ..operators.lookup import label_series
 from ..operators.projection import pca_2d_joint, scatter_table
 from ..operators.sampling import sample_rows, subsample
-from ..schema import L3_DIMS
+from ..schema import CODE_DIMS, L3_DIMS
 from ..shared import materialize
 from .build import Catalogue
 
@@ -34,12 +34,19 @@ def map_l2_l3(
     seed: int = 42,
     eps: float = 1e-4,
 ) -> JointMap:
-    """Project all series, or ``sample_n`` of them, and all domains into one space."""
+    """Project all series, or ``sample_n`` of them, and all domains into one space.
+
+    ``color_dim`` is any dimension of the domains or series, codes included where the
+    catalogue has them.
+    """
     usable = catalogue.l2.filter(is_usable(F.col("description.embedding"), finite=False))
     key = F.col("identity.series_key")
     chosen = usable if sample_n is None else sample_rows(usable, key, sample_n, seed)
     sample = subsample(chosen, key, target_points, seed)
-    series = materialize(label_series(sample, catalogue.l3), "map-series")
+    extra = [color_dim] if color_dim in CODE_DIMS else []
+    series = materialize(label_series(sample, catalogue.l3, extra), "map-series")
+    if extra and series.where(F.col(color_dim) != "").isEmpty():
+        raise ValueError(f"no series has the colour dimension '{color_dim}'")
     domains = catalogue.l3.filter(is_usable(F.col("description.embedding"), finite=False)).select(
         F.col("identity.domain_key").alias("domain_key"),
         *[F.coalesce(F.try_element_at("dims", F.lit(d)), F.lit("")).alias(d) for d in L3_DIMS],
