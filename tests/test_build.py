@@ -219,6 +219,20 @@ def scanned_rows(df):
     return leaf.metrics().apply("numOutputRows").value(), found
 
 
+def test_run_leaves_only_its_outputs(spark, tmp_path):
+    from pathlib import Path
+
+    from tristrata.shared import scratch_root
+
+    (tmp_path / "t.csv").write_text("Area,Item,Element,Unit,Year,Value\n" + "".join(f"a{i % 7},i,e,u,{2000 + i},{i}\n" for i in range(90)))
+    folder = Path(scratch_root(spark).removeprefix("file://")) / "tristrata"
+    before = set(folder.glob("*")) if folder.exists() else set()
+    meta = {"Domain": "D", "Sub_domain": "S", "Domain_table": "T"}
+    done = run(spark, CatalogueConfig([SourceSpec(1, str(tmp_path / "t.csv"), meta)]), str(tmp_path / "out"))
+    assert set(folder.glob("*")) == before and done["counts"]["series"] == 7
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"l1", "l2", "l3", "keyed", "manifest"}
+
+
 def test_keyed_lookups_read_few_row_groups(spark, make_facts, tmp_path):
     """A lookup in the columnar form reads one row group; an absent key mostly none."""
     import pyarrow.parquet as pq

@@ -24,7 +24,7 @@ from ..operators.series import (
     series_stats,
 )
 from ..schema import L3_DIMS, LEVEL_SCHEMAS, ORDER
-from ..shared import materialize
+from ..shared import materialize, scratch_scope
 from ..sources.levels import dataset_manifest, read_jsonl_level, read_keyed_level, write_jsonl_level, write_keyed_level
 from ..sources.tables import read_sources
 
@@ -152,20 +152,22 @@ def run(spark: SparkSession, config: CatalogueConfig, out: str, encoder=None, ke
 
     Below ``out`` lie the levels, their columnar form (``keyed``) and ``manifest``: name, rows, file, sha256 and bytes of
     every part file. Counts come from the staged bundles; no level is read again.
+    Intermediate tables are deleted at the end.
     """
     resolve_encoder(config.embeddings, encoder)
-    facts = read_sources(spark, config.sources)
-    built = build_catalogue(
-        facts, config.build, config.embeddings, encoder, stage=True
-    )
-    paths = write_catalogue(built, out, keyed)
-    points = built.l1.agg(
-        F.count("*").alias("series"), F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("records")
-    ).first()
-    counts = {"domains": built.l3.count(), **points.asDict()}
-    rows = F.create_map(F.lit("l3"), F.lit(counts["domains"]), F.lit("l2"), F.lit(counts["series"]), F.lit("l1"), F.lit(counts["series"]))
-    manifest = dataset_manifest(spark, paths).withColumn("rows_of_artefact", rows[F.col("artefact")])
-    manifest.write.json(f"{out}/manifest")
+    with scratch_scope(spark):
+        facts = read_sources(spark, config.sources)
+        built = build_catalogue(
+            facts, config.build, config.embeddings, encoder, stage=True
+        )
+        paths = write_catalogue(built, out, keyed)
+        points = built.l1.agg(
+            F.count("*").alias("series"), F.coalesce(F.sum(F.size("data")), F.lit(0)).cast("bigint").alias("records")
+        ).first()
+        counts = {"domains": built.l3.count(), **points.asDict()}
+        rows = F.create_map(F.lit("l3"), F.lit(counts["domains"]), F.lit("l2"), F.lit(counts["series"]), F.lit("l1"), F.lit(counts["series"]))
+        manifest = dataset_manifest(spark, paths).withColumn("rows_of_artefact", rows[F.col("artefact")])
+        manifest.write.json(f"{out}/manifest")
     return {
         "run_id": config.run_id, "seed": config.seed, "paths": paths, "counts": counts,
         "manifest": f"{out}/manifest", "config": asdict(config),

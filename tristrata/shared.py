@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,29 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/tristrata/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the scratch root, or below the innermost ``scratch_scope``."""
+    root = _SCOPES[-1] if _SCOPES else f"{scratch_root(spark)}/tristrata"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared storage, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end: for jobs that write their results elsewhere."""
+    _SCOPES.append(scratch_path(spark, "scope"))
+    try:
+        yield
+    finally:
+        remove(spark, _SCOPES.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
