@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tristrata.llm import bpe, decontaminate, jaccard, learning, linededup, quality
 from tristrata.llm.queries import ship, table
-from tristrata.shared import scratch_path
+from tristrata.shared import remove, scratch_path, scratch_scope
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage; what stages and their inputs wrote meanwhile is deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
