@@ -39,7 +39,7 @@ from . import textual
 from .jaccard import _marked, bitmap
 
 LENGTH = 400
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: What a mark for a shard holds: proven starts from a to b, a core with unproven starts at distances a to b, a repeated string (a: its check).
 PROVEN, OPEN, START = 0, 1, 2
 
