@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import struct
+import time
 
 import public_tokenizers
 import pytest
 import tiktoken
 from conftest import ODD_TEXTS
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tristrata.llm import bpe
@@ -46,6 +48,37 @@ def test_long_pieces(reference):
             assert bpe.replay([piece.encode()], bpe.load(PATH))[0].tolist() == reference.encode_ordinary(piece)
 
 
+def test_one_long_piece_of_varied_letters(reference):
+    draw = random.Random(5)
+    piece = "".join(draw.choice("etaoinshrdlué") for _ in range(60_000))
+    started = time.process_time()
+    ids, ends = bpe.replay([piece.encode(), b"", b" the", piece[:999].encode()], bpe.load(PATH))
+    assert time.process_time() - started < 5
+    first = reference.encode_ordinary(piece)
+    assert ids.tolist() == first + reference.encode_ordinary(" the") + reference.encode_ordinary(piece[:999])
+    assert ends.tolist()[:3] == [len(first), len(first), len(first) + 1]
+
+
+@given(st.lists(st.text(alphabet="abc", max_size=30).map(str.encode), max_size=9), st.lists(st.text(alphabet="abc", min_size=2, max_size=4).map(str.encode), unique=True, max_size=14), st.sampled_from([1, 3, 24]))
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_any_ranks_whether_in_one_step_or_place_by_place(monkeypatch, pieces, tokens, many):
+    monkeypatch.setattr(bpe, "MANY", many)
+    ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate(tokens)}
+    expected = []
+    for piece in pieces:
+        parts = [piece] if piece in ranks else [bytes([b]) for b in piece]
+        while True:
+            pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+            if not pairs:
+                break
+            at = min(pairs)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        expected += [ranks[x] for x in parts]
+    ids, ends = bpe.replay(pieces, bpe.merges_of(ranks))
+    assert ids.tolist() == expected
+    assert len(ends) == len(pieces)
+
+
 def test_digests_and_round_trip(spark, odd, none, reference):
     got = bpe.digests(odd, PATH, public_tokenizers.PATTERN).collect()
     expected = []

@@ -1,18 +1,20 @@
 """Byte-level BPE by merge replay over a block of texts.
 
-The distinct pieces of a block form one corpus, their symbols laid out in one array, with
-the rank of each pair of neighbours next to it. Each pass scans these ranks, applies the
-lowest of every piece at all its places, left to right, then looks up only the pairs that
-the merge touched. There is no index from ranks to places. Nothing is trained here.
+The distinct pieces of a block form one corpus. An inverted index leads from the rank of a
+pair to the places of that pair in the corpus; the lowest rank of the index is applied
+place by place, and only the pairs beside a merge are looked up anew and filed again.
+Nothing is trained here.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +31,25 @@ PIECE_COST = 150
 #: Ids of pieces met before by this worker, and their bytes, of each vocabulary.
 _KNOWN: dict[tuple[str, str], tuple[dict[str, bytes], list[int]]] = {}
 SLICE_BYTES = 1 << 20
-NO_MERGE = np.int64(1) << 40
+#: From so many places on, a rank is applied to all of them in one step.
+MANY = 24
+#: A rank that no pair has.
+NO_MERGE = (1 << 31) - 1
 
 
 @dataclass
 class Merges:
-    """Ranks of a vocabulary: every mergeable pair of ids, found by its key."""
+    """Ranks of a vocabulary: two neighbours merge if their bytes together are a token."""
 
     ranks: dict[bytes, int]
     names: list[bytes]
-    keys: np.ndarray  # left * size + right, ascending
+    keys: np.ndarray  # left * size + right of every mergeable pair, ascending
     made: np.ndarray  # the id that the pair of each key becomes
     safe: np.ndarray  # no pair with this id has a lower rank than the id
     single: np.ndarray  # the id of each byte
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left * len(self.names) + right
+        key = left.astype(np.int64) * len(self.names) + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.made[at], NO_MERGE)
 
@@ -69,8 +74,8 @@ def merges_of(ranks: dict[bytes, int]) -> Merges:
     order = np.argsort(keys)
     if not len(order):
         keys, made, order = np.array([-1]), np.array([0]), np.array([0])
-    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
-    return Merges(ranks, names, keys[order], made[order], safe, single)
+    single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int32)
+    return Merges(ranks, names, keys[order], made[order].astype(np.int32), safe, single)
 
 
 @lru_cache(maxsize=4)
@@ -84,52 +89,122 @@ def replay(pieces: list[bytes], m: Merges) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all pieces run together, and the end of each piece.
 
     Every piece sees its lowest rank first, leftmost among equals. A piece that is a
-    token itself is that token. Where merging into an id could bring up a lower rank
-    than its own (``safe`` is false), one place is merged per pass.
+    token itself is that token. Time grows as n log n, also in one unbroken piece.
     """
-    whole = np.array([m.ranks.get(p, -1) for p in pieces], dtype=np.int64)
-    work = np.array([i for i, p in enumerate(pieces) if p and whole[i] < 0], dtype=np.int64)
-    symbol = m.single[np.frombuffer(b"".join(pieces[i] for i in work), dtype=np.uint8)]
-    if len(symbol) and symbol.min() < 0:
+    whole = [m.ranks.get(p, -1) for p in pieces]
+    work = [i for i, p in enumerate(pieces) if p and whole[i] < 0]
+    corpus = np.frombuffer(b"".join(pieces[i] for i in work), dtype=np.uint8)
+    ends = np.cumsum([len(pieces[i]) for i in work], dtype=np.int64)
+    symbols = m.single[corpus]
+    if len(symbols) and symbols.min() < 0:
         raise ValueError("a byte of the text has no id of its own")
-    owner = np.repeat(work, [len(pieces[i]) for i in work])
-    rank = np.full(len(symbol), NO_MERGE)
-    inner = np.flatnonzero(owner[1:] == owner[:-1])
-    rank[inner] = m.look_up(symbol[inner], symbol[inner + 1])
-    done_owner, done_symbol = [np.flatnonzero(whole >= 0)], [whole[whole >= 0]]
-    while len(symbol):
-        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        sizes = np.diff(np.append(starts, len(symbol)))
-        low = np.minimum.reduceat(rank, starts)
-        pending = low < NO_MERGE
-        if not pending.all():
-            stay = np.repeat(pending, sizes)
-            done_owner.append(owner[~stay])
-            done_symbol.append(symbol[~stay])
-            symbol, owner, rank, sizes, low = symbol[stay], owner[stay], rank[stay], sizes[pending], low[pending]
-            if not len(symbol):
-                break
-        at = np.flatnonzero(rank == np.repeat(low, sizes))
-        # Neighbouring places overlap: every second one of a run, from the left.
-        fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
-        run = np.flatnonzero(fresh)
-        at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
-        first = np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])
-        at = at[first | m.safe[rank[at]]]
-        symbol[at] = rank[at]
-        keep = np.ones(len(symbol), dtype=bool)
-        keep[at + 1] = False
-        place = (np.cumsum(keep) - 1)[at]
-        symbol, owner, rank = symbol[keep], owner[keep], rank[keep]
-        touched = np.concatenate([place, place[place > 0] - 1])
-        rank[touched] = NO_MERGE
-        touched = touched[touched + 1 < len(symbol)]
-        touched = touched[owner[touched] == owner[touched + 1]]
-        rank[touched] = m.look_up(symbol[touched], symbol[touched + 1])
-    all_owner = np.concatenate(done_owner)
-    order = np.argsort(all_owner, kind="stable")
-    ids = np.concatenate(done_symbol)[order].astype("<u4")
-    return ids, np.cumsum(np.bincount(all_owner, minlength=len(pieces)))
+    ranks = np.full(len(corpus), NO_MERGE, dtype=np.int32)
+    ranks[:-1] = m.look_up(symbols[:-1], symbols[1:])
+    ranks[ends - 1] = NO_MERGE
+    merged = merge_in_order(symbols, ranks, ends, m)
+    alive = np.flatnonzero(merged >= 0)
+    cuts = np.searchsorted(alive, np.concatenate([[0], ends]))
+    lengths = np.array([int(w >= 0) for w in whole], dtype=np.int64)
+    lengths[work] = np.diff(cuts)
+    stops = np.cumsum(lengths)
+    ids = np.empty(int(lengths.sum()), dtype="<u4")
+    tokens = np.flatnonzero(np.array(whole, dtype=np.int64) >= 0)
+    ids[stops[tokens] - 1] = np.array(whole, dtype=np.int64)[tokens]
+    shift = np.repeat((stops - lengths)[work] - cuts[:-1], np.diff(cuts))
+    ids[np.arange(len(alive)) + shift] = merged[alive]
+    return ids, stops
+
+
+def merge_in_order(symbols: np.ndarray, ranks: np.ndarray, ends: np.ndarray, m: Merges) -> np.ndarray:
+    """The symbols after all merges, at the place of their first byte; -1 elsewhere.
+
+    ``ranks`` holds the rank of the pair that begins at each place. The index leads from a
+    rank to its places, a heap each, and the lowest rank of the index is applied: at all its
+    places in one step if they are many and no pair that this makes ranks lower, else at the
+    leftmost place. Only the two pairs beside a merge get new ranks; a place
+    whose pair changed since it was filed is passed over.
+    """
+    count, names, find = len(symbols), m.names, m.ranks.get
+    before, after = np.arange(-1, count - 1), np.arange(1, count + 1)
+    before[np.append(0, ends)[: len(ends)]] = -1
+    after[ends - 1] = -1
+    # Numbers are read one by one from the arrays and many at once from the views on them.
+    symbol, rank = array("i", symbols.tobytes()), array("i", ranks.tobytes())
+    before, after = array("q", before.tobytes()), array("q", after.tobytes())
+    symbols, ranks = np.frombuffer(symbol, dtype=np.int32), np.frombuffer(rank, dtype=np.int32)
+    befores, afters = np.frombuffer(before, dtype=np.int64), np.frombuffer(after, dtype=np.int64)
+
+    filed = np.argsort(ranks, kind="stable")[: np.count_nonzero(ranks < NO_MERGE)]
+    waiting, starts = np.unique(ranks[filed], return_index=True)
+    waiting = waiting.tolist()
+    index = {r: x.tolist() for r, x in zip(waiting, np.split(filed, starts[1:]))}
+
+    def file(places: list[int], made: list[int]) -> None:
+        for place, new in zip(places, made):
+            if new in index:
+                heappush(index[new], place)
+            else:
+                index[new] = [place]
+                heappush(waiting, new)
+
+    single_steps = set()
+    while waiting:
+        low = waiting[0]
+        places = index[low]
+        if not places:
+            del index[heappop(waiting)]
+            continue
+        if len(places) >= MANY and low not in single_steps:
+            at = np.sort(np.array(places))
+            at = at[ranks[at] == low]
+            at = every_second(at[np.diff(at, prepend=-1) > 0], afters)
+            gone = afters[at]
+            right = afters[gone]
+            inner = right >= 0
+            left = befores[at]
+            if not m.safe[low] and lowest_beside(low, symbols[left[left >= 0]], symbols[right[inner]], m) < low:
+                single_steps.add(low)
+                continue
+            places.clear()
+            symbols[at], symbols[gone], ranks[gone], ranks[at], afters[at] = low, -1, NO_MERGE, NO_MERGE, right
+            befores[right[inner]] = at[inner]
+            left = befores[at]
+            touched = np.concatenate([at[inner], left[left >= 0]])
+            new = m.look_up(symbols[touched], symbols[afters[touched]])
+            ranks[touched] = new
+            found = new < NO_MERGE
+            file(touched[found].tolist(), new[found].tolist())
+            continue
+        at = heappop(places)
+        if rank[at] != low:
+            continue
+        gone = after[at]
+        left, right = before[at], after[gone]
+        symbol[at], symbol[gone], rank[gone], rank[at], after[at] = low, -1, NO_MERGE, NO_MERGE, right
+        if right >= 0:
+            before[right] = at
+            rank[at] = new = find(names[low] + names[symbol[right]], NO_MERGE)
+            if new < NO_MERGE:
+                file((at,), (new,))
+        if left >= 0:
+            rank[left] = new = find(names[symbol[left]] + names[low], NO_MERGE)
+            if new < NO_MERGE:
+                file((left,), (new,))
+    return symbols
+
+
+def lowest_beside(low: int, left: np.ndarray, right: np.ndarray, m: Merges) -> int:
+    """The lowest rank that ``low`` has with itself, behind ``left`` or before ``right``."""
+    one = np.array([low])
+    beside = (m.look_up(left, one), m.look_up(one, right), m.look_up(one, one))
+    return min(int(x.min(initial=NO_MERGE)) for x in beside)
+
+
+def every_second(at: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Ascending places without those whose left symbol is taken: every second one of a run of neighbours, from the left."""
+    fresh = np.concatenate([[True], at[1:] != after[at[:-1]]]) if len(at) else np.ones(0, dtype=bool)
+    run = np.flatnonzero(fresh)
+    return at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
 
 
 def ascii_form(pattern: str) -> str | None:
