@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import pytest
 
@@ -35,3 +36,18 @@ def test_long_csv_is_written_by_many_tasks(spark, tables, tmp_path, monkeypatch)
     lengths = [len(p.read_text().splitlines()) - 1 for p in sorted((tmp_path / "long-csv" / "00").glob("part-*"))]
     assert sum(lengths) == 230 and max(lengths) <= 60
     assert [r[-1] for r in whole if r[3] == "u1" and r[7] == 2] == [7.5]
+
+
+def test_manifest_of_artefacts_in_many_files(spark, tables, tmp_path, monkeypatch):
+    whole = sorted(map(tuple, ingest.dataset_manifest(spark, tables).collect()))
+    monkeypatch.setattr(ingest, "FILE_ROWS", 20, raising=False)
+    monkeypatch.setattr(ingest, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-text")
+    assert sorted(map(tuple, ingest.dataset_manifest(spark, tables).collect())) == whole
+    files = [p.read_text().splitlines() for p in sorted((tmp_path / "orders-text").glob("part-*"))]
+    assert max(map(len, files)) <= 40
+    lines = [f"{k}|1-URGENT|{1 + k % 3}" for k in range(1, 61)]
+    assert sum(files, []) == lines
+    digest = hashlib.sha256("".join(hashlib.sha256(x.encode()).hexdigest() for x in lines).encode()).hexdigest()
+    for _ in range(2):
+        digest = hashlib.sha256(digest.encode()).hexdigest()
+    assert whole[1] == ("orders", 60, sum(len(x) + 1 for x in lines), digest)

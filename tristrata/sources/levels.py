@@ -16,6 +16,8 @@ LONG_LINE = 4
 #: Children of a node of a file's digest tree, and levels above the lines.
 FAN_OUT = 4096
 LEVELS_ABOVE = 3
+#: Names of the part files of an artefact.
+PART_FILES = "part-*"
 #: Files of more bytes than this have a digest tree, but no checksum of their content in one piece.
 WHOLE_BYTES = 1 << 30
 
@@ -112,8 +114,8 @@ def _numbered(raw: DataFrame, per_file: bool) -> DataFrame:
     ).drop("before", "first", ORDER)
 
 
-def _text_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(
+def _text_lines(spark: SparkSession, path: str, names: str = "*") -> DataFrame:
+    return spark.read.option("pathGlobFilter", names).text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
 
@@ -139,14 +141,20 @@ def content_digest(df: DataFrame, columns: list[str | Column] | None = None) ->
     )
 
 
-def line_trees(spark: SparkSession, path: str) -> DataFrame:
+def line_trees(spark: SparkSession, path: str, by_file: bool = True) -> DataFrame:
     """(path, lines, tree_sha256): a digest of each text file's lines in order, as a tree.
 
+    With ``by_file`` off, one tree over the lines of all part files in path order: equal for
+    equal lines, however they are dealt to files.
+
     Leaves are SHA-256 of the lines; a node is SHA-256 of the hexadecimal digests of up to
     FAN_OUT children run together, LEVELS_ABOVE times. Nodes are small whatever the file's
     size, so no file has to fit a row. A file without lines has no row.
     """
-    rows = _numbered(_text_lines(spark, path), per_file=True)
+    if by_file:
+        rows = _numbered(_text_lines(spark, path), per_file=True)
+    else:
+        rows = _numbered(_text_lines(spark, path, PART_FILES), per_file=False).withColumn("file", F.lit(path))
     nodes = rows.select("file", (F.col("line") - 1).alias("at"), F.sha2("value", 256).alias("digest"), F.lit(1).cast("bigint").alias("lines"))
     for _ in range(LEVELS_ABOVE):
         children = F.array_sort(F.collect_list(F.struct("at", "digest")))
@@ -156,25 +164,32 @@ def line_trees(spark: SparkSession, path: str) -> DataFrame:
     return nodes.select(F.col("file").alias("path"), "lines", F.col("digest").alias("tree_sha256"))
 
 
-def dataset_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def dataset_manifest(spark: SparkSession, paths: dict[str, str], by_file: bool = True) -> DataFrame:
     """artefact, path, sha256, bytes, mtime_utc, lines and tree_sha256 of every part file of text artefacts.
 
+    With ``by_file`` off one row per artefact that has part files: its folder, all bytes, the
+    latest time and the tree over all lines in path order, without a ``sha256``.
+
     ``tree_sha256`` (see :func:`line_trees`) has no limit of size; ``sha256``, the checksum
     of the bytes in one piece, is null for files over WHOLE_BYTES, whose content is not read
     for it.
     """
     out = None
     for name, path in sorted(paths.items()):
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-        small = listed.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"))
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", PART_FILES).load(path)
+        if by_file:
+            sums = listed.where(F.col("length") <= WHOLE_BYTES).select("path", F.sha2("content", 256).alias("sha256"))
+        else:
+            listed = listed.groupBy(F.lit(path).alias("path")).agg(F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"))
+            sums = listed.select("path", F.lit(None).cast("string").alias("sha256"))
         files = (
             listed.select(
                 "path",
                 F.col("length").alias("bytes"),
                 F.date_format(F.to_utc_timestamp("modificationTime", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("mtime_utc"),
             )
-            .join(small, "path", "left")
-            .join(line_trees(spark, path), "path", "left")
+            .join(sums, "path", "left")
+            .join(line_trees(spark, path, by_file), "path", "left")
             .select(
                 F.lit(name).alias("artefact"), "path", "sha256", "bytes", "mtime_utc",
                 F.coalesce("lines", F.lit(0).cast("bigint")).alias("lines"), "tree_sha256",
