@@ -329,6 +329,43 @@ def test_large_groups_lose_no_link():
     assert got == expected and len(got) > 100
 
 
+def test_crossing_names_the_classes_of_cross_pairs():
+    rng = np.random.default_rng(4)
+    n, place = rng.integers(90, 110, 70), rng.integers(0, 8, 70)
+    name, root = np.arange(70), np.where(rng.random(70) < 0.8, 1, rng.integers(2, 5, 70))
+    pairs = np.concatenate(list(jaccard.cross_pairs(n, place, name, root, 90, 100)))
+    assert np.flatnonzero(jaccard.crossing(n, place, root, 90, 100)).tolist() == np.unique(pairs).tolist()
+    few, members = jaccard.few_or_members(n, place, name, root, 90, 100)
+    assert not len(few) and members.tolist() == np.unique(pairs).tolist()
+
+
+def test_large_clusters_link_without_all_pairs(docs_of, prose, monkeypatch):
+    """Hundreds of copies just above and below the threshold: few pairs are compared, no link is lost."""
+    rng, rows = random.Random(11), []
+    for g, length in enumerate((150, 90)):
+        base = [f"{w}{k % 7}" for k, w in enumerate(prose("en", length, f"hub{g}").split())]
+        for k in range(220):
+            mine = list(base)
+            for _ in range(rng.choice((2, 2, 3, 4))):
+                mine[rng.randrange(length)] = f"w{rng.randrange(10**6)}"
+            rows.append((1000 * g + k, " ".join(mine)))
+    compared, plain = [], jaccard.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    taken = []
+    across = jaccard.across
+    monkeypatch.setattr(jaccard, "across", lambda *a: taken.append(1) or across(*a))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(docs_of(rows), 3, 90, 100).collect()]
+    expected = plain_components(rows, 3, 90, 100)
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+    assert 5 < len({c for _, _, c in expected}) < 435 and taken
+    assert sum(compared) < 8 * len(rows)
+
+
 def test_near_copies_odd_rows(odd, none):
     got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(odd, 3, 90, 100).collect())))
     assert got == sorted(map(str, plain_components(ODD_TEXTS, 3, 90, 100)))
