@@ -111,6 +111,24 @@ def test_a_shared_passage_goes_whatever_stands_before(docs_of, prose):
     assert got[1][3] == 0 and all(got[i][3] >= 8 for i in range(2, 6))
 
 
+def test_chunks_are_cut_once_per_use(docs_of):
+    """A filter by exploded chunks would cut every text three times."""
+    plan = linededup.repeated_chunks(linededup.with_chunks(docs_of([(1, "a b\nc")])))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\\n(?=B)") + plan.count("\n(?=B)") == 1
+
+
+@pytest.mark.parametrize("runs", [True, False])
+def test_texts_that_share_a_cell_with_others(docs_of, prose, monkeypatch, runs):
+    """Whatever the bitmap marks by chance, the same lines go."""
+    shared = "\n".join(prose("en", 26, f"shared{k}") for k in range(4))
+    rows = [(k, prose("en", 30, f"own{k}") + ("\n" + shared + "\nend" if k % 4 == 0 else "\nalone")) for k in range(40)]
+    rows += [(50, None), (50, None), (None, shared), (51, "")]
+    plain = sorted(map(str, linededup.dedup(docs_of(rows), runs).collect()))
+    monkeypatch.setattr(linededup, "CELLS", 16)
+    assert sorted(map(str, linededup.dedup(docs_of(rows), runs).collect())) == plain
+    assert any("n_removed=4" in r for r in plain) and len(plain) == len(rows)
+
+
 def test_line_dedup_odd_rows(odd, none, docs_of):
     same_dedup(odd)
     assert linededup.dedup(none).count() == 0
