@@ -384,6 +384,51 @@ def test_large_clusters_link_without_all_pairs(docs_of, prose, monkeypatch):
     assert sum(compared) < 8 * len(rows)
 
 
+def test_pairs_far_apart_go_before_their_shingles_move(docs_of, prose, monkeypatch):
+    """Texts of which a fifth is shared are candidates, but never compared shingle by shingle."""
+    rng, rows = random.Random(5), []
+    blocks = [[f"b{g}x{k}" for k in range(30)] for g in range(12)]
+    for g in range(40):
+        shared = [f"s{g}x{k}" for k in range(30)]
+        for k in range(2):
+            rows.append((10 * g + k, " ".join(shared + sum(rng.sample(blocks[6 * k : 6 * k + 6], 4), []))))
+    # Links of sets on both sides of a signature's next length: 64, 128 and 256 shingles.
+    for g, length in enumerate((62, 66, 126, 130, 256, 262)):
+        words = [f"l{g}x{k}" for k in range(length)]
+        rows += [(1000 + 10 * g + cut, " ".join(words[: length - cut])) for cut in (0, 2, 4)]
+    rows += [(2000, "the same words " * 400), (2001, "the same words " * 300), (2002, "a b"), (2003, "a b c"), (2004, None)]
+    compared, plain = [], jaccard.verified
+
+    def counted(pairs, *rest):
+        compared.extend((r.x, r.y) for r in pairs.collect())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(docs_of(rows), 3, 90, 100).collect()]
+    expected = plain_components(rows, 3, 90, 100)
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+    assert {c for d, _, c in expected if 1000 <= d < 2000} == {1000 + 10 * g for g in range(6)}
+    assert 0 < len(compared) <= 18
+
+
+def test_parities_never_tell_more_than_the_difference():
+    """Folded to one length, signatures differ in at most as many places as the sets, and in many if the sets do."""
+    rng = np.random.default_rng(6)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    sets = [np.unique(pool[rng.integers(0, m, k)]) for m, k in ((40, 30), (3000, 64), (3000, 65), (80, 70), (300, 250), (300, 290), (3000, 1500), (3000, 2900))]
+    sets += [np.zeros(0, dtype=np.uint64), pool[:1]]
+    sizes = np.array([len(x) for x in sets])
+    odd, words = jaccard.parities(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes)
+    assert all(w & (w - 1) == 0 and 64 * w >= n and (w == 1 or 32 * w < n) for w, n in zip(words.tolist(), sizes.tolist()))
+    signs = np.split(odd.view(np.uint64), np.cumsum(words)[:-1])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            k = min(words[i], words[j])
+            apart = sum(int(x).bit_count() for x in np.bitwise_xor.reduce(np.concatenate([signs[i], signs[j]]).reshape(-1, k), axis=0))
+            differ = len(np.setxor1d(a, b))
+            assert apart <= differ and (differ > 0 or apart == 0) and (differ < 500 or words[i] != words[j] or apart > 250)
+
+
 def test_near_copies_odd_rows(odd, none):
     got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.link(odd, 3, 90, 100).collect())))
     assert got == sorted(map(str, plain_components(ODD_TEXTS, 3, 90, 100)))
